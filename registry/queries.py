@@ -22,7 +22,7 @@ from wardlight.operators import (
     views,
 )
 from wardlight.plans import jobs
-from wardlight.session import scratch_path
+from wardlight.session import materialize, scratch_path, tune
 from wardlight.sources import bundles, files, tables
 from wardlight.sources.encounters import encounters_from_orders, read_encounters
 
@@ -31,7 +31,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
+    """Register a query; it runs under the library's runtime settings in any session."""
+    QUERIES[run.__name__] = lambda spark, data_dir: run(tune(spark), data_dir)
     return run
 
 
@@ -326,8 +327,8 @@ def auc_encounters(spark, d):
     scored = _features(spark, d).selectExpr(
         "readmission_target AS label",
         "inline(array(struct('stay' AS model, CAST(time_in_hospital AS DOUBLE) AS score),"
-        " struct('visits', CAST(total_prior_visits AS DOUBLE)),"
-        " struct('order', CAST(encounter_id * 7919 % 100003 AS DOUBLE))))",
+        " struct('visits' AS model, CAST(total_prior_visits AS DOUBLE) AS score),"
+        " struct('order' AS model, CAST(encounter_id * 7919 % 100003 AS DOUBLE) AS score)))",
     )
     return _rounded(metrics.auc(scored), ["auc_roc"])
 

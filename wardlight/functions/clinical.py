@@ -1,7 +1,8 @@
 """Clinical scalar expressions as Columns.
 
-All are null-safe under ANSI mode: text that is not a number becomes NULL through
-``try_cast`` instead of failing the job.
+All are null-safe under ANSI mode: text that is not a number becomes NULL instead of
+failing the job. Text is tested before it is cast, since a ``try_cast`` that fails
+raises and catches an exception for every such row.
 """
 
 from __future__ import annotations
@@ -46,7 +47,8 @@ def missing_to_null(c: Column, token: str = MISSING_TOKEN) -> Column:
 def age_midpoint(c: Column) -> Column:
     """Middle of the first ``lo-hi`` pair of numbers, truncated; NULL without one."""
     pattern = r"(\d+)\s*-\s*(\d+)"
-    low, high = (F.regexp_extract(c, pattern, i).try_cast("int") for i in (1, 2))
+    found = [F.regexp_extract(c, pattern, i) for i in (1, 2)]
+    low, high = (F.when(text != "", text.try_cast("int")) for text in found)
     return ((low + high) / 2).cast("int")
 
 
@@ -75,12 +77,16 @@ def stay_category(days: Column) -> Column:
 
 def code_head(code: Column) -> Column:
     """The part of a diagnosis code before its first dot, as text."""
-    return F.split_part(code, F.lit("."), F.lit(1))
+    return F.substring_index(code, ".", 1)
+
+
+# Whole numbers that fit an int.
+_NUMBER = r"^\s*[+-]?0*\d{1,9}\s*$"
 
 
 def code_number(head: Column) -> Column:
     """That part as a number; NULL for letter codes."""
-    return head.try_cast("int")
+    return F.when(head.rlike(_NUMBER), head.cast("int"))
 
 
 def in_group(head: Column, number: Column, group: str) -> Column:

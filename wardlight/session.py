@@ -21,7 +21,18 @@ def build_session(name: str, master: str | None = None, **settings: str) -> Spar
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Runtime settings for wide projections of conditions.
+
+    The JVM never compiles a method over 8000 bytes of bytecode, and whole-stage code
+    for fifty CASE columns is far longer and would run interpreted. Beyond that limit
+    Spark then generates one small method per expression instead.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
