@@ -158,7 +158,7 @@ def patient_features(spark, d):
 
 @query
 def patient_features_joined(spark, d):
-    return views.patient_features_joined(_clean(spark, d))
+    return views.patient_features_joined(materialize(_clean(spark, d), "clean"))
 
 
 @query
@@ -255,8 +255,9 @@ def landing_counts(spark, d):
 @query
 def report_csv(spark, d):
     path = scratch_path(spark, "report")
-    files.write_report_csv(model_report(spark, d), path)
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in model_report(spark, d).schema)
+    report = model_report(spark, d)
+    files.write_report_csv(report, path)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in report.schema)
     return spark.read.schema(kinds).option("header", True).csv(path)
 
 
@@ -387,6 +388,16 @@ def _scored(spark: SparkSession, d: str) -> DataFrame:
 SCORE_COLUMNS = ["encounter_id", "risk_score", "readmission_prediction", "risk_tier"]
 
 
+def _stored_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Scored encounters as the table a scoring run leaves behind."""
+    kept = [
+        "encounter_id", "patient_nbr", "age_category", "stay_category",
+        "primary_diagnosis_group", "utilization_tier", *WEIGHTS,
+        "risk_score", "readmission_prediction", "risk_tier",
+    ]
+    return materialize(_scored(spark, d).select(kept), "scored")
+
+
 @query
 def score_fixed(spark, d):
     return _rounded(_scored(spark, d).select(SCORE_COLUMNS), ["risk_score"])
@@ -423,7 +434,7 @@ def top_factors_long(spark, d):
 
 @query
 def risk_percentile(spark, d):
-    scored = _rounded(_scored(spark, d).select("encounter_id", "risk_score"), ["risk_score"])
+    scored = _rounded(_stored_scores(spark, d).select("encounter_id", "risk_score"), ["risk_score"])
     return _rounded(scoring.risk_percentiles(scored), ["risk_percentile"])
 
 
@@ -443,17 +454,18 @@ def what_if(spark, d):
 def disease_weights(spark, d):
     built = _features(spark, d)
     weights = spark.createDataFrame(COHORT_WEIGHTS, "cohort string, feature string, weight double")
-    weighted = scoring.cohort_weighted(
-        scoring.contributions(built, scoring.contribution_array(WEIGHTS)),
+    contributed = scoring.contributions(
         built.withColumnRenamed("primary_diagnosis_group", "cohort"),
-        weights,
+        scoring.contribution_array(WEIGHTS),
+        carry=["cohort"],
     )
+    weighted = scoring.cohort_weighted(contributed, weights)
     return _rounded(weighted, ["contribution", "weighted_contribution"])
 
 
 @query
 def patient_profile(spark, d):
-    built = _scored(spark, d)
+    built = _stored_scores(spark, d)
     details = built.select(
         "encounter_id", "patient_nbr", "age_category", "stay_category", "primary_diagnosis_group",
         "utilization_tier",
@@ -466,14 +478,14 @@ def patient_profile(spark, d):
 @query
 def risk_listing(spark, d):
     """The second page of 50 high-risk encounters."""
-    page = scoring.risk_listing(_scored(spark, d), 50, tier="High", page=2)
+    page = scoring.risk_listing(_stored_scores(spark, d), 50, tier="High", page=2)
     return _rounded(page.select(SCORE_COLUMNS), ["risk_score"])
 
 
 @query
 def risk_listing_after(spark, d):
     """The page of 50 critical-risk encounters that follows a given id."""
-    page = scoring.risk_listing(_scored(spark, d), 50, tier="Critical", after=500)
+    page = scoring.risk_listing(_stored_scores(spark, d), 50, tier="Critical", after=500)
     return _rounded(page.select(SCORE_COLUMNS), ["risk_score"])
 
 

@@ -64,6 +64,12 @@ def duplicate_keys(df: DataFrame, key: str = "encounter_id") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
+def require_unique(df: DataFrame, key: str = "encounter_id") -> None:
+    """Raise when a key repeats, before a join on it multiplies rows. One aggregation."""
+    if duplicate_keys(df, key).limit(1).count():
+        raise DataIntegrityError(f"{key} repeats; a join on it would multiply rows")
+
+
 def target_distribution(df: DataFrame, column: str = S.TARGET_COLUMN) -> DataFrame:
     require_columns(df, [column])
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wardlight.errors import MetricValidationError
 from wardlight.operators.ordered import PIECE, running_before, split_points, with_piece
+from wardlight.session import materialize
 
 # Model names in report order, and the report's columns.
 MODEL_ORDER = ["logistic_regression", "random_forest", "decision_tree", "gbt"]
@@ -64,17 +65,21 @@ def auc(
     """Exact area under the ROC curve per model: the share of (positive, negative)
     pairs the score puts in order, ties counting half.
 
-    No pairs are formed. Rows are counted per score first; negatives below a score
-    come from a running sum split over pieces of the score range. With one class
-    only, all positive gives 1 and all negative 0.
+    No pairs are formed. Rows are counted per score first and the counts stored, so
+    predictions are read once; negatives below a score come from a running sum split
+    over pieces of the score range. With one class only, all positive gives 1 and all
+    negative 0.
     """
     scored = predictions.select(
         "model", F.col(label).cast("int").alias("_y"), F.col(score).alias("_s")
     ).filter("_y IS NOT NULL AND _s IS NOT NULL")
-    points = split_points(scored, "_s", pieces)
-    per_score = scored.groupBy("model", "_s").agg(
-        F.count_if(F.col("_y") == 1).alias("_pos"), F.count_if(F.col("_y") == 0).alias("_neg")
+    per_score = materialize(
+        scored.groupBy("model", "_s").agg(
+            F.count_if(F.col("_y") == 1).alias("_pos"), F.count_if(F.col("_y") == 0).alias("_neg")
+        ),
+        "score-counts",
     )
+    points = split_points(per_score, "_s", pieces)
     before = W.partitionBy("model", PIECE).orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
     inside = with_piece(per_score, "_s", points).withColumn(
         "_below", F.coalesce(F.sum("_neg").over(before), F.lit(0))
@@ -173,11 +178,15 @@ def comparison_report(
 SELECTION_METRICS = ["f1", "recall", "auc_roc", "precision", "accuracy"]
 
 
-def champion(report: DataFrame, metric: str = "f1") -> DataFrame:
-    """The report row with the best metric; then higher AUC, then faster prediction."""
+def champion(report: DataFrame, metric: str = "f1", at_least: float | None = None) -> DataFrame:
+    """The report row with the best metric; then higher AUC, then faster prediction.
+
+    With ``at_least`` a model below it is not chosen, and there may be no row.
+    """
     if metric not in SELECTION_METRICS:
         raise ValueError(f"cannot select by {metric!r}; choose one of {SELECTION_METRICS}")
-    return report.orderBy(
+    eligible = report if at_least is None else report.filter(F.col(metric) >= at_least)
+    return eligible.orderBy(
         F.desc(metric), F.desc("auc_roc"), F.asc_nulls_last("prediction_time_seconds"), F.asc("model")
     ).limit(1)
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wardlight.session import shuffle_width
+from wardlight.session import materialize, shuffle_width
 
 PIECE = "_piece"
 MAX_PIECES = 1000
@@ -48,17 +48,20 @@ def rank_values(df: DataFrame, column: str, pieces: int | None = None) -> DataFr
     """One row per distinct value: its rows, the rows below it, and all rows.
 
     Equal values are counted before anything is ordered, so a value held by a large
-    share of all rows is one row by then.
+    share of all rows is one row by then. The counts are stored once: ``df`` is read
+    a single time for the split, the order and the totals.
     """
     known = df.select(column).filter(F.col(column).isNotNull())
-    points = split_points(known, column, pieces)
-    counts = known.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
+    counts = materialize(
+        known.groupBy(column).agg(F.count(F.lit(1)).alias("rows")), "value-counts"
+    )
+    points = split_points(counts, column, pieces)
     before = W.partitionBy(PIECE).orderBy(column).rowsBetween(W.unboundedPreceding, -1)
     ranked = with_piece(counts, column, points).withColumn(
         "_below", F.coalesce(F.sum("rows").over(before), F.lit(0))
     )
-    totals = with_piece(known, column, points).groupBy(PIECE).agg(
-        F.count(F.lit(1)).alias("_piece_rows")
+    totals = with_piece(counts, column, points).groupBy(PIECE).agg(
+        F.sum("rows").alias("_piece_rows")
     )
     offsets = totals.select(
         PIECE,
@@ -77,6 +80,7 @@ def with_previous(
 
     A group is cut into pieces of the order, so one that holds a third of all rows
     is spread over a third of the tasks. ``order`` must not repeat within a group.
+    Give a stored frame: it is read three times.
     """
     split = with_piece(df, order, split_points(df, order, pieces))
     window = W.partitionBy(group, PIECE).orderBy(order)

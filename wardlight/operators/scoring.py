@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardlight.functions import clinical as fn
+from wardlight.operators.checks import require_unique
 from wardlight.operators.lookups import broadcast_if_small
 from wardlight.operators.ordered import rank_values, with_previous
 
@@ -68,9 +69,12 @@ def model_contribution_array(model, slots: Sequence[tuple[str, str]], features:
     return F.filter(named, lambda e: e["contribution"] != 0)
 
 
-def contributions(df: DataFrame, parts: Column, key: str = "encounter_id") -> DataFrame:
-    """One row per encounter and feature."""
-    return df.select(key, F.explode(parts).alias("_part")).select(key, "_part.*")
+def contributions(
+    df: DataFrame, parts: Column, key: str = "encounter_id", carry: Sequence[str] = ()
+) -> DataFrame:
+    """One row per encounter and feature, with any columns of the encounter to carry."""
+    kept = [key, *carry]
+    return df.select(*kept, F.explode(parts).alias("_part")).select(*kept, "_part.*")
 
 
 def top_factors(
@@ -109,14 +113,13 @@ def top_factors_long(contributed: DataFrame, k: int = 3, key: str = "encounter_i
     )
 
 
-def cohort_weighted(contributed: DataFrame, cohorts: DataFrame, weights: DataFrame) -> DataFrame:
+def cohort_weighted(contributed: DataFrame, weights: DataFrame) -> DataFrame:
     """Contributions times their cohort's weight for the feature (1 where none is set).
 
-    ``cohorts`` names each encounter's cohort; ``weights`` has ``cohort, feature,
-    weight``.
+    Contribution rows carry their encounter's ``cohort``; ``weights`` has ``cohort,
+    feature, weight``.
     """
-    placed = contributed.join(cohorts.select("encounter_id", "cohort"), "encounter_id")
-    return placed.join(broadcast_if_small(weights), ["cohort", "feature"], "left").select(
+    return contributed.join(broadcast_if_small(weights), ["cohort", "feature"], "left").select(
         "encounter_id",
         "cohort",
         "feature",
@@ -128,7 +131,9 @@ def cohort_weighted(contributed: DataFrame, cohorts: DataFrame, weights: DataFra
 def risk_percentiles(scored: DataFrame, score: str = RISK, pieces: int | None = None) -> DataFrame:
     """Share of the other encounters that score lower, from 0 to 1, on every row.
 
-    Ranks are found per distinct score and joined back on it, unique on that side.
+    Ranks are found per distinct score and joined back on it, unique on that side, so
+    adaptive execution can split a score that many rows share. ``scored`` is read
+    twice; give a stored table where scoring is dear.
     """
     ranks = rank_values(scored, score, pieces)
     others = F.col("total_rows") - 1
@@ -198,8 +203,14 @@ def first_rows(df: DataFrame, n: int, key: str = "encounter_id") -> DataFrame:
 def patient_profiles(
     details: DataFrame, scored: DataFrame, factors: DataFrame, pieces: int | None = None
 ) -> DataFrame:
-    """Encounters with their risk, its change since the patient's last encounter, and
-    their leading factors."""
+    """Encounters with their risk, the risk at the patient's last encounter, and their
+    leading factors.
+
+    ``scored`` is best a stored table, since it is read several times. Ids must not
+    repeat in it or in ``details``, which is checked.
+    """
+    require_unique(details)
+    require_unique(scored)
     risks = with_previous(
         scored.select("encounter_id", "patient_nbr", RISK, "risk_tier"),
         "patient_nbr",

@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlight import schema as S
-from wardlight.errors import DataIntegrityError
 from wardlight.functions import clinical as fn
-from wardlight.operators.checks import duplicate_keys
+from wardlight.operators.checks import require_unique
 
 KEY = "encounter_id"
 DIAGNOSES = ["diag_1", "diag_2", "diag_3"]
@@ -129,9 +128,7 @@ def patient_features_joined(clean: DataFrame, allow_duplicates: bool = False) ->
     (``sources.tables.write_clean_table``) and none of the joins shuffles.
     """
     if not allow_duplicates:
-        repeated = duplicate_keys(clean, KEY).limit(1).count()
-        if repeated:
-            raise DataIntegrityError("encounter ids repeat; the joined feature table would multiply")
+        require_unique(clean, KEY)
     joined = clean
     for view, columns in [
         (age_bins(clean), S.AGE_BIN_COLUMNS),

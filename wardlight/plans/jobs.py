@@ -50,7 +50,13 @@ def prepare_training(
     """Train and test vectors, and the feature model fitted on ``train`` or ``all`` rows."""
     if fit_on not in ("train", "all"):
         raise ValueError(f"fit_on is 'train' or 'all', not {fit_on!r}")
-    features = patient_features(clean)
+    # Stored once: indexes, scales and both sides' vectors each read it again.
+    features = materialize(
+        patient_features(clean).select(
+            "encounter_id", "patient_nbr", *S.FEATURE_COLUMNS, S.TARGET_COLUMN
+        ),
+        "features",
+    )
     train, test = split_data(features, seed=seed)
     model = fit_features(train if fit_on == "train" else features)
     return (

@@ -16,6 +16,8 @@ def build_session(name: str, master: str | None = None, **settings: str) -> Spar
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "snappy")
+        # Building a wide plan otherwise records the caller's stack for every Column.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -113,9 +113,12 @@ def flatten_bundles(bundles: DataFrame, column: str = "bundle") -> DataFrame:
         F.col("listed.rank").alias("rank"),
         F.coalesce(_key(F.col("listed.condition.reference")), none).alias("condition_id"),
     )
+    # Copies of a condition, however many were sent, collapse before the join; the
+    # join then keeps the aggregate's partitioning.
     conditions = (
         found.filter(F.col("resourceType") == "Condition")
-        .select(F.col("id").alias("condition_id"), F.col("code.coding")[0]["code"].alias("code"))
+        .groupBy(F.col("id").alias("condition_id"))
+        .agg(F.max(F.col("code.coding")[0]["code"]).alias("code"))
     )
     return (
         ranked.join(conditions, "condition_id", "left")
