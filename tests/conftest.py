@@ -17,6 +17,7 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "6g",
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "3000",
             "spark.ui.showConsoleProgress": "false",
         },
     )

@@ -3,6 +3,7 @@ import random
 import pytest
 
 from wardlight.operators import ordered
+from wardlight.operators.spread import join_spread
 
 
 @pytest.fixture(scope="module")
@@ -50,3 +51,19 @@ def test_empty_and_null(spark):
     assert ordered.rank_values(empty, "v").count() == 0
     nulls = spark.createDataFrame([(None,), (1.0,)], "v double")
     assert [tuple(r) for r in ordered.rank_values(nulls, "v").collect()] == [(1.0, 1, 0, 1)]
+
+
+@pytest.mark.parametrize("width", [1, 2, 4, 1000])
+def test_spread_join_equals_the_plain_one(spark, width):
+    rng = random.Random(5)
+    rows = [
+        (i, None if rng.random() < 0.3 else (7 if rng.random() < 0.5 else rng.randrange(50)), rng.choice("ab"))
+        for i in range(1200)
+    ]
+    big = spark.createDataFrame(rows, "id long, k long, c string").repartition(4)
+    unique = spark.createDataFrame(
+        [(k, c, f"{k}{c}") for k in [*range(0, 50, 2), 7] for c in "ab"], "k long, c string, v string"
+    )
+    got = join_spread(big, unique, ["k", "c"], width=width)
+    plain = big.join(unique, ["k", "c"], "left")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))

@@ -24,14 +24,20 @@ from wardlight.session import materialize, scratch_path
 
 
 def predict(model: Any, df: DataFrame, label: str = S.TARGET_COLUMN) -> DataFrame:
-    """Id (if any), label, prediction and positive-class score of every row."""
+    """Id (if any), label, prediction and positive-class scores of every row.
+
+    ``score`` is the model's raw one, which the ROC curve is drawn from: a decision
+    tree's raw scores (its leaves' row counts) order rows otherwise than its
+    probabilities do.
+    """
     predicted = model.transform(df)
     kept = [c for c in ("encounter_id",) if c in df.columns]
     return predicted.select(
         *kept,
         F.col(label).alias("label"),
         F.col("prediction").cast("int").alias("prediction"),
-        vector_to_array("probability")[1].alias("score"),
+        vector_to_array("rawPrediction")[1].alias("score"),
+        vector_to_array("probability")[1].alias("probability"),
     )
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wardlight.operators.spread import join_spread
+from wardlight.session import materialize
+
 VISIT_CLASSES = ["inpatient", "emergency", "outpatient"]
 
 
@@ -36,14 +39,18 @@ def prior_year_visits(
 ) -> DataFrame:
     """Visits per class in the ``days`` calendar days before each visit's own day.
 
-    Visits are first counted per patient and day, so the window runs over days: a
-    patient's rows there are bounded by the days on record, however many visits they
-    have. The counts then join back to the visits on patient and day, a key that is
-    unique on the counts' side, so adaptive execution can split a hot one.
+    Visits are first counted per patient and day and the counts stored, so the window
+    runs over days: a patient's rows there are bounded by the days on record, however
+    many visits they have. The history then joins back to the visits on patient and
+    day, apart from the shuffle for a patient's day that holds very many.
     """
     dated = visits.withColumn("_day", F.unix_date(F.to_date(time)))
-    daily = dated.groupBy(patient, "_day").agg(
-        *[F.count_if(F.col(visit_class) == c).alias(f"_{c}") for c in VISIT_CLASSES]
+    daily = materialize(
+        dated.groupBy(patient, "_day").agg(
+            F.count(F.lit(1)).alias("_rows"),
+            *[F.count_if(F.col(visit_class) == c).alias(f"_{c}") for c in VISIT_CLASSES],
+        ),
+        "daily-visits",
     )
     year = W.partitionBy(patient).orderBy("_day").rangeBetween(-days, -1)
     history = daily.select(
@@ -55,7 +62,10 @@ def prior_year_visits(
         ],
     )
     return (
-        dated.join(history, [patient, "_day"], "left")
-        .select(*visits.columns, *[f"prior_{c}" for c in VISIT_CLASSES])
+        join_spread(dated, history, [patient, "_day"], daily)
+        .select(
+            *visits.columns,
+            *[F.coalesce(f"prior_{c}", F.lit(0)).alias(f"prior_{c}") for c in VISIT_CLASSES],
+        )
         .withColumn("prior_total", sum((F.col(f"prior_{c}") for c in VISIT_CLASSES), F.lit(0)))
     )

@@ -13,6 +13,7 @@ from wardlight.functions import clinical as fn
 from wardlight.operators.checks import require_unique
 from wardlight.operators.lookups import broadcast_if_small
 from wardlight.operators.ordered import rank_values, with_previous
+from wardlight.operators.spread import join_spread
 
 RISK = "risk_score"
 
@@ -131,19 +132,27 @@ def cohort_weighted(contributed: DataFrame, weights: DataFrame) -> DataFrame:
 def risk_percentiles(scored: DataFrame, score: str = RISK, pieces: int | None = None) -> DataFrame:
     """Share of the other encounters that score lower, from 0 to 1, on every row.
 
-    Ranks are found per distinct score and joined back on it, unique on that side, so
-    adaptive execution can split a score that many rows share. ``scored`` is read
-    twice; give a stored table where scoring is dear.
+    Ranks are found per distinct score and joined back on it, apart from the shuffle
+    for scores that very many rows share. Rows without a score have no percentile.
+    Give a stored table where scoring is dear: it is read more than once.
     """
     ranks = rank_values(scored, score, pieces)
     others = F.col("total_rows") - 1
     placed = ranks.select(
         score,
+        F.col("rows").alias("_rows"),
         F.when(others > 0, F.col("rows_below") / others)
         .otherwise(F.lit(0.0))
         .alias("risk_percentile"),
     )
-    return scored.join(placed, score, "left").select(*scored.columns, "risk_percentile")
+    known = scored.filter(F.col(score).isNotNull())
+    unknown = scored.filter(F.col(score).isNull()).withColumn(
+        "risk_percentile", F.lit(None).cast("double")
+    )
+    joined = join_spread(
+        known, placed.drop("_rows"), [score], placed.select(score, "_rows"), pieces
+    )
+    return joined.select(*scored.columns, "risk_percentile").unionByName(unknown)
 
 
 def what_if(

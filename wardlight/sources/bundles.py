@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardlight.operators.spread import join_spread
+from wardlight.session import materialize
+
 RESOURCE = (
     "struct<resourceType: string, id: string, subject: struct<reference: string>,"
     " length: struct<value: int, unit: string>,"
@@ -95,7 +98,8 @@ def flatten_bundles(bundles: DataFrame, column: str = "bundle") -> DataFrame:
     """Encounter rows with their ranked diagnosis codes.
 
     A diagnosis reference meets its Condition by id; codes are then spread to
-    columns by a conditional aggregate that is combined before it is shuffled.
+    columns by a conditional aggregate that is combined before it is shuffled. The
+    bundles are read twice, once per kind of resource.
     """
     found = resources(bundles, column)
     scalars = ["encounter_id", "patient_nbr", "time_in_hospital"]
@@ -120,8 +124,11 @@ def flatten_bundles(bundles: DataFrame, column: str = "bundle") -> DataFrame:
         .groupBy(F.col("id").alias("condition_id"))
         .agg(F.max(F.col("code.coding")[0]["code"]).alias("code"))
     )
+    # Copies of an encounter collapse too, and a condition that very many encounters
+    # name is joined apart from the shuffle.
+    listed = materialize(ranked.distinct(), "listed-diagnoses")
     return (
-        ranked.join(conditions, "condition_id", "left")
+        join_spread(listed, conditions, ["condition_id"])
         .groupBy(*scalars)
         .agg(*[F.max(F.when(F.col("rank") == r, F.col("code"))).alias(c) for r, c in RANKS.items()])
     )
