@@ -529,7 +529,8 @@ def prior_year_visits(spark, d):
 
 @query
 def bundle_flatten(spark, d):
-    return bundles.flatten_bundles(bundles.encounters_to_bundles(_clean(spark, d)))
+    stored = materialize(bundles.encounters_to_bundles(_clean(spark, d)), "bundles")
+    return bundles.flatten_bundles(stored)
 
 
 @query

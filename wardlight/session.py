@@ -63,6 +63,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def use_all_cores(scan: DataFrame) -> DataFrame:
+    """Spread a scan of fewer tasks than the cluster has cores over all of them.
+
+    Only a small input, such as a single file, is read in so few; any larger one is
+    left as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """How many ways the cluster is set up to split a shuffle."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

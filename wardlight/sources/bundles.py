@@ -99,9 +99,12 @@ def flatten_bundles(bundles: DataFrame, column: str = "bundle") -> DataFrame:
 
     A diagnosis reference meets its Condition by id; codes are then spread to
     columns by a conditional aggregate that is combined before it is shuffled. The
-    bundles are read twice, once per kind of resource.
+    JSON is parsed once, into a stored table both kinds of resource are read from.
     """
-    found = resources(bundles, column)
+    found = materialize(
+        resources(bundles, column).filter(F.col("resourceType").isin("Encounter", "Condition")),
+        "resources",
+    )
     scalars = ["encounter_id", "patient_nbr", "time_in_hospital"]
     encounters = found.filter(F.col("resourceType") == "Encounter").select(
         F.col("id").cast("long").alias("encounter_id"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wardlight import schema as S
+from wardlight.session import use_all_cores
 
 KEY_FORMULA = "o_orderkey * 7919 + o_custkey * 104729"
 
@@ -85,11 +86,10 @@ def encounter_sql(orders: str = "orders") -> str:
 
 
 def encounters_from_orders(orders: DataFrame) -> DataFrame:
-    keyed = orders.select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
-    ).selectExpr("*", f"{KEY_FORMULA} AS K")
+    keyed = orders.selectExpr("o_orderkey", "o_custkey", f"{KEY_FORMULA} AS K")
     return keyed.selectExpr(*[f"{_FORMULAS[c]} AS {c}" for c in S.RAW_COLUMNS])
 
 
 def read_encounters(spark: SparkSession, data_dir: str) -> DataFrame:
-    return encounters_from_orders(spark.read.parquet(f"{data_dir}/orders.parquet"))
+    orders = spark.read.parquet(f"{data_dir}/orders.parquet").select("o_orderkey", "o_custkey")
+    return encounters_from_orders(use_all_cores(orders))
