@@ -6,7 +6,15 @@ joins and windows an engine without the library can run.
 
 from __future__ import annotations
 
-from registry.queries import COHORT_WEIGHTS, INTERCEPT, KNOWN_FACTS, LENGTH_RULES, ONE_HOT, WEIGHTS
+from registry.queries import (
+    COHORT_STARTS,
+    COHORT_WEIGHTS,
+    INTERCEPT,
+    KNOWN_FACTS,
+    LENGTH_RULES,
+    ONE_HOT,
+    WEIGHTS,
+)
 from wardlight import schema as S
 from wardlight.functions.clinical import RISK_TIER_STARTS
 from wardlight.sources.encounters import encounter_sql
@@ -205,6 +213,13 @@ TIER = (
     )
     + " ELSE 'Low' END"
 )
+COHORT_TIERS = " ".join(
+    f"WHEN primary_diagnosis_group = '{cohort}' AND risk >= {start} THEN '{name}'"
+    for cohort, starts in COHORT_STARTS.items()
+    for name, start in sorted(starts, key=lambda s: -s[1])
+) + " " + " ".join(
+    f"WHEN primary_diagnosis_group = '{cohort}' THEN 'Low'" for cohort in COHORT_STARTS
+)
 SCORED = (
     f"risks AS (SELECT *, {_risk()} AS risk FROM features),"
     f" scored AS (SELECT *, round(risk, 6) AS risk_score,"
@@ -468,6 +483,12 @@ ORACLES: dict[str, str] = {
         " AS readmissions FROM scored GROUP BY 1",
         SCORED,
     ),
+    "cohort_risk_tiers": _from(
+        "features",
+        f"SELECT primary_diagnosis_group, CASE {COHORT_TIERS} ELSE {TIER} END AS cohort_risk_tier,"
+        " count(*) AS encounters FROM scored GROUP BY 1, 2",
+        SCORED,
+    ),
     "contributions": _from(
         "features",
         "SELECT encounter_id, feature, round(contribution, 6) AS contribution FROM parts",
@@ -549,6 +570,18 @@ ORACLES: dict[str, str] = {
         " round(avg(readmission_target), 6) AS readmission_rate FROM features"
         " GROUP BY ROLLUP (utilization_tier, age_category)",
     ),
+    "comorbidity_rates": _from(
+        "features",
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS comorbidity, {c} AS present, count(*) AS encounters,"
+            " round(avg(readmission_target), 6) AS readmission_rate,"
+            " round(avg(total_prior_visits), 6) AS mean_prior_visits,"
+            " round(CASE WHEN sum(total_prior_visits) > 0 THEN"
+            " CAST(sum(COALESCE(number_inpatient, 0)) AS DOUBLE) / sum(total_prior_visits)"
+            f" ELSE CAST(0 AS DOUBLE) END, 6) AS inpatient_share FROM features GROUP BY {c}"
+            for c in S.DIAGNOSIS_FLAG_COLUMNS
+        ),
+    ),
     "prior_year_visits": "WITH visits AS (SELECT o_orderkey AS visit_id, o_custkey AS patient_nbr,"
     f" o_orderdate AS admitted_at, {VISIT_CLASS} AS visit_class FROM orders)"
     " SELECT visit_id, patient_nbr, visit_class, "

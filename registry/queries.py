@@ -410,6 +410,21 @@ def risk_tiers(spark, d):
     )
 
 
+# Starts of the tiers for two conditions, the usual ones elsewhere.
+COHORT_STARTS = {
+    "Diabetes": [("Critical", 0.7), ("High", 0.4), ("Moderate", 0.2)],
+    "Circulatory": [("Critical", 0.75), ("High", 0.45), ("Moderate", 0.25)],
+}
+
+
+@query
+def cohort_risk_tiers(spark, d):
+    tiered = scoring.with_cohort_tiers(_scored(spark, d), "primary_diagnosis_group", COHORT_STARTS)
+    return tiered.groupBy("primary_diagnosis_group", "cohort_risk_tier").agg(
+        F.count(F.lit(1)).alias("encounters")
+    )
+
+
 @query
 def contributions(spark, d):
     return _rounded(
@@ -513,6 +528,12 @@ def cohort_subtotals(spark, d):
     return _rounded(found, ["readmission_rate"])
 
 
+@query
+def comorbidity_rates(spark, d):
+    found = cohorts.comorbidity_rates(_features(spark, d), S.DIAGNOSIS_FLAG_COLUMNS)
+    return _rounded(found, ["readmission_rate", "mean_prior_visits", "inpatient_share"])
+
+
 @query
 def prior_year_visits(spark, d):
     """Orders as visits: the urgent ones emergencies, high and medium ones stays."""
@@ -691,6 +712,17 @@ def feature_importance(spark, d):
     return importance.feature_importance(spark, trained, features.vector_slots(fitted))
 
 
+@query
+def permutation_importance(spark, d):
+    built = materialize(_features(spark, d), "features")
+    train, test = features.split_data(built)
+    fitted = features.fit_features(train)
+    vectors = materialize(features.transform_features(train, fitted), "train")
+    trained, _ = models.train_all_models(vectors, names=["decision_tree"])
+    columns = ["time_in_hospital", "number_inpatient", "primary_diagnosis_group", "age_category"]
+    return importance.permutation_importance(fitted, trained["decision_tree"], test, columns)
+
+
 @query
 def model_factors(spark, d):
     """Three leading factors of every test encounter under a trained regression."""

@@ -150,9 +150,13 @@ def test_training_records(trained, embedded):
 
 def test_report_of_trained_models(trained, embedded):
     _, found, records = trained
-    report = evaluate.evaluate_models(found, embedded[1], records)
+    path = scratch_path(embedded[1].sparkSession, "report")
+    report = evaluate.evaluate_models(found, embedded[1], records, csv=path)
     rows = report.collect()
-    assert sorted(r["model"] for r in rows) == sorted(models.SETTINGS)
+    assert [r["model"] for r in rows] == list(models.SETTINGS)
+    lines = [r[0] for r in embedded[1].sparkSession.read.text(path).collect()]
+    assert len(lines) == 5 and lines[0] == ",".join(report.columns)
+    assert [line.split(",")[0] for line in lines[1:]] == list(models.SETTINGS)
     for r in rows:
         assert r["tp"] + r["tn"] + r["fp"] + r["fn"] == r["test_rows"] == embedded[1].count()
         assert r["prediction_time_seconds"] > 0 and 0 <= r["auc_roc"] <= 1
@@ -227,3 +231,31 @@ def test_scoring_with_a_model(vectors):
     scored = scoring.score_with_model(test, model)
     assert scored.count() == test.count()
     assert scored.filter("risk_score < 0 OR risk_score > 1 OR risk_tier IS NULL").count() == 0
+
+
+def test_shuffling_moves_every_value_once(spark, features):
+    moved = importance.with_shuffled(features, "time_in_hospital")
+    assert moved.columns == features.columns
+    rest = [c for c in features.columns if c != "time_in_hospital"]
+    assert moved.select(rest).exceptAll(features.select(rest)).count() == 0
+    counts = [
+        dict(map(tuple, f.groupBy("time_in_hospital").count().collect())) for f in (moved, features)
+    ]
+    # A chain, not a cycle: the first row keeps its value and the last one's is dropped.
+    assert sum(abs(counts[0].get(k, 0) - counts[1].get(k, 0)) for k in counts[0] | counts[1]) <= 2
+    pairs = moved.select("encounter_id", F.col("time_in_hospital").alias("t")).join(features, "encounter_id")
+    assert pairs.filter("t <> time_in_hospital").count() > 0.8 * features.count()
+
+
+def test_permutation_importance_finds_the_column_that_matters(spark, features):
+    told = materialize(
+        features.withColumn("readmission_target", (F.col("time_in_hospital") > 7).cast("int")), "told"
+    )
+    fitted = fv.fit_features(told)
+    model, _ = models.train_model("decision_tree", fv.transform_features(told, fitted), maxDepth=2)
+    rows = importance.permutation_importance(
+        fitted, model, told, ["num_procedures", "time_in_hospital"]
+    ).collect()
+    drops = {r["feature"]: r["auc_drop"] for r in rows}
+    assert drops["time_in_hospital"] > 0.3 and abs(drops["num_procedures"]) < 1e-9
+    assert {r["feature"]: r["place"] for r in rows}["time_in_hospital"] == 1

@@ -4,7 +4,7 @@ import pytest
 
 from wardlight import schema as S
 from wardlight.plans import jobs
-from wardlight.session import materialize, scratch_path
+from wardlight.session import materialize, scratch_path, use_all_cores
 from wardlight.sources import bundles, files, tables
 from wardlight.sources.encounters import read_encounters
 
@@ -33,6 +33,15 @@ def test_csv_comes_back_typed(spark, raw, csv):
     assert same(files.read_raw_positional(spark, csv), raw)
 
 
+def test_only_a_narrow_scan_is_spread(spark, tiny):
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.read.parquet(f"{tiny}/orders.parquet")
+    assert one.rdd.getNumPartitions() == 1
+    assert use_all_cores(one).rdd.getNumPartitions() == cores
+    wide = one.repartition(cores + 1)
+    assert use_all_cores(wide) is wide
+
+
 def test_reading_csv_starts_no_job(spark, csv):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("read only", "")

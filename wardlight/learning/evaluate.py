@@ -19,8 +19,10 @@ from wardlight.operators.metrics import (
     champion,
     comparison_report,
     enforce_metrics,
+    in_report_order,
 )
 from wardlight.session import materialize, scratch_path
+from wardlight.sources.files import write_report_csv
 
 
 def predict(model: Any, df: DataFrame, label: str = S.TARGET_COLUMN) -> DataFrame:
@@ -68,8 +70,10 @@ def evaluate_models(
     records: dict[str, dict[str, Any]] | None = None,
     label: str = S.TARGET_COLUMN,
     names: Sequence[str] = tuple(MODEL_ORDER),
+    csv: str | None = None,
 ) -> DataFrame:
-    """Comparison report of fitted models, or of those stored under a folder."""
+    """Comparison report of fitted models, or of those stored under a folder; also
+    written as CSV where a path is given."""
     if isinstance(models, str):
         models = {name: load_model(name, f"{models}/{name}") for name in names}
     elif not isinstance(models, dict):
@@ -93,7 +97,10 @@ def evaluate_models(
     # One row per model: storing it saves computing it for the check and the caller.
     report = materialize(comparison_report(predictions, known=known), "report")
     enforce_metrics(report)
-    return report
+    ordered_report = in_report_order(report, names)
+    if csv:
+        write_report_csv(ordered_report, csv)
+    return ordered_report
 
 
 def evaluate_model(

@@ -30,6 +30,25 @@ def cohort_rates(
     )
 
 
+def comorbidity_rates(
+    features: DataFrame, flags: Sequence[str], target: str = "readmission_target"
+) -> DataFrame:
+    """Per comorbidity and whether it is present: encounters, readmission rate, mean
+    prior visits, and the share of those visits that were inpatient. One pass."""
+    long = features.select(
+        target, "total_prior_visits", "number_inpatient", *flags
+    ).unpivot([target, "total_prior_visits", "number_inpatient"], list(flags), "comorbidity", "present")
+    visits = F.sum("total_prior_visits")
+    return long.groupBy("comorbidity", "present").agg(
+        F.count(F.lit(1)).alias("encounters"),
+        F.avg(target).alias("readmission_rate"),
+        F.avg("total_prior_visits").alias("mean_prior_visits"),
+        F.when(visits > 0, F.sum(F.coalesce("number_inpatient", F.lit(0))) / visits)
+        .otherwise(F.lit(0.0))
+        .alias("inpatient_share"),
+    )
+
+
 def prior_year_visits(
     visits: DataFrame,
     patient: str = "patient_nbr",

@@ -169,10 +169,13 @@ def comparison_report(
             for fact, kind in facts.items()
         }
     )
+    return in_report_order(full.select(REPORT_COLUMNS), order)
+
+
+def in_report_order(report: DataFrame, order: Sequence[str] = tuple(MODEL_ORDER)) -> DataFrame:
+    """Rows in the given order of models, others after them by name."""
     place = F.array_position(F.array(*[F.lit(m) for m in order]), F.col("model"))
-    return full.orderBy(F.when(place > 0, place).otherwise(len(order) + 1), "model").select(
-        REPORT_COLUMNS
-    )
+    return report.orderBy(F.when(place > 0, place).otherwise(len(order) + 1), "model")
 
 
 SELECTION_METRICS = ["f1", "recall", "auc_roc", "precision", "accuracy"]

@@ -49,6 +49,19 @@ def score_with_weights(df: DataFrame, weights: Mapping[str, float], intercept: f
     return with_risk(df, F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)))
 
 
+def with_cohort_tiers(
+    scored: DataFrame,
+    cohort: str,
+    starts: Mapping[str, Sequence[tuple[str, float]]],
+    to: str = "cohort_risk_tier",
+) -> DataFrame:
+    """Tier by the starts of the encounter's own cohort, the usual ones elsewhere."""
+    tier = fn.risk_tier(F.col(RISK))
+    for name, own in starts.items():
+        tier = F.when(F.col(cohort) == name, fn.risk_tier(F.col(RISK), own)).otherwise(tier)
+    return scored.withColumn(to, tier)
+
+
 def contribution_array(weights: Mapping[str, float]) -> Column:
     """What each feature adds to the margin, as an array of (feature, contribution)."""
     return F.array(
