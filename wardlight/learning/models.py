@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.storagelevel import StorageLevel
 
 from wardlight import schema as S
-from wardlight.learning.features import FEATURES, feature_dimension, split_step
+from wardlight.learning.features import FEATURES, split_step
 from wardlight.operators.metrics import MODEL_ORDER
 
 # The parameters each classifier is compared with.
@@ -156,10 +156,3 @@ def cross_validate(
     return fitted, train.sparkSession.createDataFrame(
         rows, "setting string, mean_metric double, std_metric double"
     )
-
-
-__all__ = [
-    "SETTINGS", "all_model_settings", "build_estimator", "cross_validate",
-    "feature_dimension", "load_model", "model_settings", "save_model",
-    "train_all_models", "train_model",
-]
