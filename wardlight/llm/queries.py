@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import byte_bpe, packing, quality_rules
+from wardlight.llm import byte_bpe, packing, quality_rules, unit_dedup
 from wardlight.llm.common import table
 
 
@@ -28,6 +28,22 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, length=4096)
 
 
+def op9_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = unit_dedup.dedup_units(table(spark, sf_dir, "documents"))
+    spans = F.transform(
+        F.arrays_zip("removed_starts", "removed_ends"),
+        lambda s: F.concat_ws("-", s["removed_starts"], s["removed_ends"]),
+    )
+    return left.select(
+        "doc_id",
+        "n_units",
+        "n_removed",
+        F.array_join(spans, ",").alias("removed_spans"),
+        F.length("text").cast("long").alias("n_kept_chars"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf_dir, "documents")
@@ -37,7 +53,45 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op9_unit_dedup": op9_unit_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+#: Units, their normal forms and first occurrences; neighbouring removed units are one span.
+OP9_SQL = r"""
+WITH units AS (
+  SELECT doc_id, unnest(u) AS unit, generate_subscripts(u, 1) AS place
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^.!?\n]+[.!?\n]*|[.!?\n]+') AS u FROM documents)
+), normal AS (
+  SELECT *, trim(regexp_replace(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+', ' ', 'g')) AS form
+  FROM units
+), flags AS (
+  SELECT *, CASE WHEN form <> '' AND len(string_split(form, ' ')) >= 6
+    THEN row_number() OVER (PARTITION BY form ORDER BY doc_id, place) > 1 END AS again
+  FROM normal
+), gone AS (
+  SELECT doc_id, place, unit, coalesce(again,
+    last_value(again IGNORE NULLS) OVER before AND first_value(again IGNORE NULLS) OVER after, false) AS away,
+    sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY place) - length(unit) AS pos
+  FROM flags
+  WINDOW before AS (PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+    after AS (PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), runs AS (
+  SELECT *, place - row_number() OVER (PARTITION BY doc_id, away ORDER BY place) AS run FROM gone
+), spans AS (
+  SELECT doc_id, string_agg(span, ',' ORDER BY begins) AS removed_spans FROM (
+    SELECT doc_id, min(pos) AS begins, min(pos)::BIGINT || '-' || max(pos + length(unit))::BIGINT AS span
+    FROM runs WHERE away GROUP BY doc_id, run) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, count(*) AS n_units, count(*) FILTER (away) AS n_removed,
+    coalesce(string_agg(unit, '' ORDER BY place) FILTER (NOT away), '') AS rest
+  FROM gone GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(removed_spans, '') AS removed_spans, length(coalesce(rest, ''))::BIGINT AS n_kept_chars,
+  sha256(coalesce(rest, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN spans USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op9_unit_dedup": OP9_SQL}
