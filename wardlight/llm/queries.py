@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import byte_bpe, packing, quality_rules, unit_dedup
+from wardlight.llm import byte_bpe, packing, quality_rules, unit_dedup, url_filter
 from wardlight.llm.common import table
 
 
@@ -23,6 +23,22 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+URL_RULES = [
+    url_filter.Rule("allow", "org/"),
+    url_filter.Rule("block", "example.org/es/"),
+    url_filter.Rule("block", "example.org/en/1"),
+    url_filter.Rule("allow", "com/fr/"),
+    url_filter.Rule("block", "com/de/"),
+]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that hosts are made of are counted in the pages' own text."""
+    pages = table(spark, sf_dir, "pages")
+    judged = url_filter.judge(pages, URL_RULES, url_filter.word_counts(pages, "html"))
+    return judged.withColumn("words", F.array_join("words", " "))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, length=4096)
@@ -51,6 +67,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
     "op3_packing": op3_packing,
     "op5_quality_rules": op5_quality_rules,
     "op9_unit_dedup": op9_unit_dedup,
