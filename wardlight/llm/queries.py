@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import byte_bpe, packing, quality_rules, unit_dedup, url_filter
+from wardlight.llm import byte_bpe, packing, quality_rules, unit_dedup, url_filter, vantage
 from wardlight.llm.common import table
 
 
@@ -39,6 +39,13 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("words", F.array_join("words", " "))
 
 
+def op2_vantage_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Factor one: exact search."""
+    vectors = table(spark, sf_dir, "embeddings")
+    queries = vectors.filter(F.col("vec_id") % 20 == 0)
+    return vantage.search(vectors, queries, k=20, metric="inner", factor=1.0)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, length=4096)
@@ -68,6 +75,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_vantage_search": op2_vantage_search,
     "op3_packing": op3_packing,
     "op5_quality_rules": op5_quality_rules,
     "op9_unit_dedup": op9_unit_dedup,
