@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import byte_bpe, packing, quality_rules, unit_dedup, url_filter, vantage
+from wardlight.llm import boosted_trees, byte_bpe, packing, quality_rules, unit_dedup, url_filter, vantage
 from wardlight.llm.common import table
 
 
@@ -51,6 +51,28 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, length=4096)
 
 
+def remainder(column: str, by: int):
+    """crc32 of the id as text, modulo ``by``."""
+    return F.crc32(F.col(column).cast("string")) % by
+
+
+def quality_trees(docs: DataFrame, labels: DataFrame) -> boosted_trees.Trees:
+    """Trained on labels.quality of the rows that are not held out, 20,000 of them at most."""
+    seen = labels.select("doc_id", F.col("quality").alias("label")).filter(remainder("doc_id", 5) != 0)
+    return boosted_trees.train(docs, seen)
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = quality_trees(docs, table(spark, sf_dir, "labels"))
+    return boosted_trees.score(docs, trees, "doc_id").select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op9_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = unit_dedup.dedup_units(table(spark, sf_dir, "documents"))
     spans = F.transform(
@@ -78,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_vantage_search": op2_vantage_search,
     "op3_packing": op3_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_quality_classifier": op6_quality_classifier,
     "op9_unit_dedup": op9_unit_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
