@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import boosted_trees, byte_bpe, jaccard_join, packing, quality_rules, unit_dedup, url_filter, vantage
+from wardlight.llm import boosted_trees, byte_bpe, jaccard_join, packing, pitman_yor, quality_rules, unit_dedup, url_filter, vantage
 from wardlight.llm.common import table
 
 
@@ -73,6 +73,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"), by=7, remainder=2)
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = jaccard_join.link(table(spark, sf_dir, "documents"), n=3, percent=90)
     return linked.select("doc_id", "n_shingles", "component_id")
@@ -106,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_pitman_yor": op7_pitman_yor,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_unit_dedup": op9_unit_dedup,
     "op10_byte_bpe": op10_byte_bpe,
