@@ -347,10 +347,34 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def maybe_in(rows: DataFrame, wanted: DataFrame, key: str, most_bits: int = 1 << 26) -> DataFrame:
+    """``rows`` without most of those whose key is not in ``wanted``, by a map of bits.
+
+    Put before a join, so that a few wanted texts do not make all texts travel. The map has
+    eight bits for each wanted key but 8 MB at most, in pieces of 4 KB: that is all that is
+    broadcast, and beyond it more rows stay for the join to drop.
+    """
+    count = wanted.count()
+    bits = min(max(1 << 15, 1 << (8 * count - 1).bit_length() if count else 0), most_bits)
+
+    def bit(column):
+        return F.pmod(F.xxhash64(column), F.lit(bits)) + 1
+
+    pieces = wanted.groupBy(F.bitmap_bucket_number(bit(F.col(key))).alias("piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit(F.col(key)))).alias("bits")
+    )
+    place = F.bitmap_bit_position(bit(F.col(key)))
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    here = F.floor(byte / F.pow(F.lit(2), place % 8)) % 2 == 1
+    marked = rows.withColumn("piece", F.bitmap_bucket_number(bit(F.col(key))))
+    return marked.join(F.broadcast(pieces), "piece").filter(here).select(*rows.columns)
+
+
 def _prefix_lists(
     state: DataFrame, heads: DataFrame, percent: int, levels, buckets: int
 ) -> DataFrame:
-    """list, class, size for the sets ``heads``, their shingles counted over all of ``state``."""
+    """list, class, size, place for the rows ``heads`` of ``state``, over all of which shingles are
+    counted. The choice of rows comes last, when their shingles need not travel for it."""
     answers = (
         state.select("chunk", "part")
         .mapInArrow(_pack_task(buckets), "bucket int, chunk long, keys binary")
@@ -358,13 +382,15 @@ def _prefix_lists(
         .applyInArrow(_count_group, "chunk long, counts binary")
     )
     prefixes = (
-        heads.select("row", "chunk", "size", "part")
+        state.filter("size > 0")
+        .select("row", "chunk", "size", "part")
         .groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
         .applyInArrow(_prefix_groups(percent, levels), "row long, size long, prefix binary, places binary, same binary")
         .filter(F.length("prefix") > 0)
     )
-    named = materialize(prefixes.withColumnRenamed("row", "class"), "prefixes")
+    chosen = prefixes.join(heads, "row", "left_semi")
+    named = materialize(chosen.withColumnRenamed("row", "class"), "prefixes")
     return materialize(_list_members(named, buckets), "prefix-lists")
 
 
@@ -420,20 +446,21 @@ def link(
     classes = materialize(
         state.filter("size > 0").groupBy("digest").agg(F.min("row").alias("class")), "classes"
     )
-    heads = state.filter("size > 0").join(classes.select(F.col("class").alias("row")), "row", "left_semi")
+    heads = classes.select(F.col("class").alias("row"))
     near = _prefix_lists(state, heads, percent, LEVELS, buckets)
 
     # The classes that stand in a list with another are all that is ever compared. They are
     # joined once more by their whole sets, where the rarest shingles are really known.
+    wanted = materialize(near.select("class").distinct(), "compared")
     sets = materialize(
-        read.select(F.col("row").alias("class"), "text")
-        .join(near.select("class").distinct(), "class", "left_semi")
+        maybe_in(read.select(F.col("row").alias("class"), "text"), wanted, "class")
+        .join(wanted, "class", "left_semi")
         .mapInArrow(_full_sets_task(n), "class long, chunk long, size long, shingles binary"),
         "shingle-sets",
     )
     whole = sets.select(F.col("class").alias("row"), "chunk", "size", F.col("shingles").alias("part"))
     sets = sets.select("class", "shingles")
-    members = _prefix_lists(whole, whole, percent, WHOLE, buckets)
+    members = _prefix_lists(whole, whole.select("row"), percent, WHOLE, buckets)
     # A list's first class is the one with the fewest rare shingles before it: the copy that
     # the others were made from, where there is one.
     # Two sets fit if their sizes do, and if enough shingles are left behind the first that
@@ -493,3 +520,16 @@ def link(
         F.col("size").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
     )
+
+
+def first_of_each(
+    docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``docs`` without the rows that are linked to a row of a smaller key; of rows with the same
+    key, to an earlier one. Rows without words are linked with nothing and stay."""
+    linked = link(docs, n, percent, key, text).filter("n_shingles > 0")
+    first = linked.groupBy("component_id").agg(F.min(F.struct(key, "row")).alias("first"))
+    others = linked.join(first, "component_id").filter(F.col("row") != F.col("first.row")).select("row")
+    gone = materialize(others, "linked-rows")
+    whole = docs.select(F.struct("*").alias("whole"), F.monotonically_increasing_id().alias("row"))
+    return whole.join(gone, "row", "left_anti").select("whole.*")
