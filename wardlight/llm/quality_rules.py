@@ -178,3 +178,16 @@ def apply_rules(
     return judged.select(
         "_row.*", F.struct(*MEASURES, "base_failed", "failed", "kept").alias("quality")
     )
+
+
+def passing(docs: DataFrame, rules=RULES, text: str = "text", **base) -> DataFrame:
+    """The rows of ``docs`` that are kept, as they are.
+
+    The optimiser would move the filter below the projections and write each step's
+    expression out wherever it is used, which doubles with every step. It leaves a filter
+    where it stands that also asks for a column made row by row.
+    """
+    judged = apply_rules(docs, rules, text, **base).withColumn("_at", F.monotonically_increasing_id())
+    return judged.filter(F.col("quality.kept") & (F.col("_at") >= 0)).select(
+        *[F.col(f"`{c}`") for c in docs.columns]
+    )

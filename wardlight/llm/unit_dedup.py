@@ -118,12 +118,14 @@ def dedup_units(
     unit: str = "sentence",
     min_words: int = 6,
     text: str = "text",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per row of ``docs``: the ranking columns, the text left, n_units, n_removed, and
+    """One row per row of ``docs``: the columns of ``ranks`` and ``keep``, the text left, n_units, n_removed, and
     the removed spans as character offsets of the original text, neighbours joined."""
     named = {c: f"rank{i}" for i, c in enumerate(ranks)}
-    wide = texts_of(docs, *ranks, text=text, row="row").withColumnsRenamed(named)
-    digests = wide.mapInArrow(
+    carried = named | {c: f"kept{i}" for i, c in enumerate(keep)}
+    wide = texts_of(docs.withColumnsRenamed(carried), *carried.values(), text=text, row="row")
+    digests = wide.select("row", *named.values(), "text").mapInArrow(
         _ranked(_digest_task(unit, min_words), list(named.values())),
         ", ".join(
             [f"{c} {wide.schema[c].dataType.simpleString()}" for c in named.values()]
@@ -133,16 +135,16 @@ def dedup_units(
     first = F.min(F.struct(*named.values(), "row", "place")).alias("first")
     winners = digests.groupBy("digest").agg(first).select("first.row", "first.place")
     homes = winners.groupBy("row").agg(F.collect_list("place").alias("places"))
-    joined = wide.join(homes, "row", "left").select(*named.values(), "text", "places")
-    extra = to_arrow_schema(wide.select(*named.values()).schema)
+    joined = wide.join(homes, "row", "left").select(*carried.values(), "text", "places")
+    extra = to_arrow_schema(wide.select(*carried.values()).schema)
     left = joined.mapInArrow(
         _remove_task(unit, min_words, extra),
         ", ".join(
-            [f"{c} {wide.schema[c].dataType.simpleString()}" for c in named.values()]
+            [f"{c} {wide.schema[c].dataType.simpleString()}" for c in carried.values()]
             + ["text string, n_units long, n_removed long, removed_starts array<long>, removed_ends array<long>"]
         ),
     )
-    return left.withColumnsRenamed({v: k for k, v in named.items()})
+    return left.withColumnsRenamed({v: k for k, v in carried.items()})
 
 
 def _ranked(task, names: list[str]):
