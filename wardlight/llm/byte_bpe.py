@@ -226,7 +226,8 @@ def encode(
 ) -> DataFrame:
     """One row per row of ``docs``: the key, n_tokens and the ids, or with ``finish="digest"``
     sha256 of the decimal ids joined by commas and of the bytes decoded from the ids."""
-    wide = texts_of(docs.withColumnRenamed(key, "key"), "key", text=text, row="row")
+    named = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    wide = texts_of(named, "key", row="row")
     kind = "ids array<int>" if finish == "ids" else "ids_sha256 string, decoded_sha256 string"
     out = f"key long, n_tokens long, {kind}"
     short = wide.filter(F.length("text") <= chunk).select("key", "text")

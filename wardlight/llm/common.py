@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import sys
+import types
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ from wardlight.session import materialize, shuffle_width
 #: White space that ends a word: blank, tab, \n, \v, \f, \r. bytes.split() cuts at the same six.
 BLANKS = " \t\n\x0b\x0c\r"
 
-__all__ = ["BLANKS", "materialize", "mix64", "one_of", "rows_of", "shuffle_width", "table", "texts_of"]
+__all__ = ["BLANKS", "materialize", "mix64", "one_of", "rows_of", "shuffle_width", "table", "texts_of", "worker_kept"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +56,18 @@ def rows_of(schema: pa.Schema, rows: Iterable[tuple], size: int = 2000) -> Itera
         )
 
 
+def worker_kept(name: Hashable, make: Callable):
+    """What ``make`` gives, made once in a worker process and found again by its later tasks.
+
+    Only for what depends on nothing but its name, such as a loaded vocabulary: functions
+    come to a worker by value, so their own modules are not kept from task to task.
+    """
+    module = sys.modules.setdefault("wardlight_worker_state", types.ModuleType("wardlight_worker_state"))
+    if name not in module.__dict__:
+        module.__dict__[name] = make()
+    return module.__dict__[name]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit over all others."""
     x = x ^ (x >> np.uint64(30))

@@ -18,16 +18,17 @@ empty table gives no pieces; other columns are not read.
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import materialize, one_of, rows_of, texts_of
+from wardlight.llm.common import materialize, one_of, rows_of, texts_of, worker_kept
 
-#: Words remembered by a task; it starts over beyond that, so its memory is bounded.
-REMEMBERED = 400_000
+#: Words remembered by a worker process; it starts over beyond that, so its memory is bounded.
+REMEMBERED = 500_000
 PIECE = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
@@ -49,46 +50,69 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, tuple[int, ...]] = {}
+        # For a lower-case word of Latin letters only the merges are left to do.
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._forget()
 
-    def _learn(self, words: list[str]) -> None:
-        known, plain, pairs = self.known, {}, []
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.starts = array("I"), array("I", [0])
+
+    def _keep(self, word: str, ids) -> None:
+        self.known[word] = len(self.starts) - 1
+        self.flat.extend(ids)
+        self.starts.append(len(self.flat))
+
+    def _ids(self, word: str):
+        k = self.known[word]
+        return self.flat[self.starts[k] : self.starts[k + 1]]
+
+    def _learn(self, words: set[str]) -> None:
+        plain, latin, pairs = {}, {}, []
         for word in words:
             body = word[:-1] if word[-1] in ".," and len(word) > 1 else word
-            if body.isalpha() and max(body) < "ɐ":
-                body, tail = body.lower(), word[-1] if len(body) < len(word) else ""
+            lower = body.lower()
+            if lower.isalpha() and max(lower) < "ɐ":
+                tail, body = word[len(body) :], lower
                 pairs.append((word, body, tail))
-                for part in (body, tail):
-                    if part and part not in known:
-                        plain[part] = None
-            elif word not in known:
+                latin[body] = plain[tail] = None
+            else:
                 plain[word] = None
-        new = list(plain)
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[word] = tuple(found.ids)
+        plain.pop("", None)
+        tokenize = self.merges.model.tokenize
+        for tokenizer, own in ((self.tokenizer, plain), (self.merges, latin)):
+            new = [word for word in own if word not in self.known]
+            if tokenizer is self.merges:
+                for word in new:
+                    if word.isascii():
+                        self._keep(word, [token.id for token in tokenize(word)])
+                new = [word for word in new if not word.isascii()]
+            for word, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                self._keep(word, found.ids)
         for word, body, tail in pairs:
-            known[word] = known[body] + (known[tail] if tail else ())
+            if word not in self.known:
+                self._keep(word, self._ids(body) + self._ids(tail) if tail else self._ids(body))
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         """The ids of each text with the end id behind them."""
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        split = [[w for w in text.replace("\n", " ").split(" ") if w] for text in texts]
-        if new := {w for words in split for w in words if w not in known}:
-            self._learn(list(new))
-        out = []
-        for words in split:
-            ids: list[int] = []
-            for found in map(known.__getitem__, words):
-                ids += found
-            ids.append(end)
-            out.append(np.array(ids, "<u4"))
-        return out
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        words = [word for own in split for word in own if word]
+        if new := set(words) - self.known.keys():
+            self._learn(new)
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        flat, starts = np.array(self.flat, "<u4"), np.array(self.starts, np.int64)
+        sizes = starts[at + 1] - starts[at]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = flat[np.repeat(starts[at] - ends[:-1], sizes) + np.arange(ends[-1])]
+        cuts = ends[np.concatenate([[0], np.cumsum([sum(map(bool, own)) for own in split])])]
+        return [np.append(ids[a:b], np.uint32(end)).astype("<u4") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 class Packer:
@@ -157,7 +181,8 @@ class Packer:
 
 def _pack_task(path: str, end: int, length: int, open_windows: int):
     def run(batches):
-        encoder, packer, task = WordEncoder(path), None, 0
+        encoder = worker_kept(("word-encoder", path), lambda: WordEncoder(path))
+        packer, task = None, 0
         for batch in batches:
             tasks, docs, texts = (one_of(c, batch) for c in ("task", "doc_id", "text"))
             if packer is None and tasks:
@@ -205,7 +230,8 @@ def pack(
 ) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     open_kind = f"{PIECE}, task long, ids binary"
-    read = texts_of(docs.withColumnRenamed(doc, "doc_id"), "doc_id", text=text)
+    named = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    read = texts_of(named, "doc_id")
     read = read.withColumn("task", F.spark_partition_id().cast("long"))
     packed = read.mapInArrow(_pack_task(tokenizer_path, end_id, length, open_windows), open_kind)
     stored = materialize(packed, "packed")

@@ -124,7 +124,8 @@ def dedup_units(
     the removed spans as character offsets of the original text, neighbours joined."""
     named = {c: f"rank{i}" for i, c in enumerate(ranks)}
     carried = named | {c: f"kept{i}" for i, c in enumerate(keep)}
-    wide = texts_of(docs.withColumnsRenamed(carried), *carried.values(), text=text, row="row")
+    named_docs = docs.select(*[F.col(c).alias(n) for c, n in carried.items()], F.col(text).alias("text"))
+    wide = texts_of(named_docs, *carried.values(), row="row")
     digests = wide.select("row", *named.values(), "text").mapInArrow(
         _ranked(_digest_task(unit, min_words), list(named.values())),
         ", ".join(
