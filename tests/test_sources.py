@@ -4,7 +4,7 @@ import pytest
 
 from wardlight import schema as S
 from wardlight.plans import jobs
-from wardlight.session import materialize, scratch_path, use_all_cores
+from wardlight.session import materialize, scratch_path
 from wardlight.sources import bundles, files, tables
 from wardlight.sources.encounters import read_encounters
 
@@ -33,15 +33,6 @@ def test_csv_comes_back_typed(spark, raw, csv):
     assert same(files.read_raw_positional(spark, csv), raw)
 
 
-def test_only_a_narrow_scan_is_spread(spark, tiny):
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.read.parquet(f"{tiny}/orders.parquet")
-    assert one.rdd.getNumPartitions() == 1
-    assert use_all_cores(one).rdd.getNumPartitions() == cores
-    wide = one.repartition(cores + 1)
-    assert use_all_cores(wide) is wide
-
-
 def test_reading_csv_starts_no_job(spark, csv):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("read only", "")
@@ -160,3 +151,31 @@ def test_bundles_of_encounters_come_back(spark, clean):
 def test_broken_bundles_give_no_rows(spark):
     rows = spark.createDataFrame([("{not json",), (None,), ("{}",)], "bundle string")
     assert bundles.flatten_bundles(rows).count() == 0
+
+
+def test_scratch_folder_of_a_cluster_must_be_named():
+    class Cluster:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Cluster()
+        conf = {}
+
+    with pytest.raises(ValueError):
+        scratch_path(Session(), "x")
+
+
+def test_job_takes_columns_in_any_order_and_names_missing_ones(spark, raw, tmp_path):
+    from wardlight.errors import SchemaValidationError
+    from wardlight.plans.jobs import run_preprocessing
+
+    named = S.raw_header_columns(raw)
+    files.write_csv(named.select(*reversed(named.columns)), str(tmp_path / "reversed"))
+    files.write_csv(named, str(tmp_path / "plain"))
+    a, _ = run_preprocessing(spark, str(tmp_path / "reversed"), str(tmp_path / "a"))
+    b, _ = run_preprocessing(spark, str(tmp_path / "plain"), str(tmp_path / "b"))
+    assert a.exceptAll(b).isEmpty() and a.count() == b.count()
+    files.write_csv(named.drop("insulin"), str(tmp_path / "missing"))
+    with pytest.raises(SchemaValidationError, match="insulin"):
+        run_preprocessing(spark, str(tmp_path / "missing"), str(tmp_path / "c"))

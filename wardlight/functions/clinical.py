@@ -48,7 +48,7 @@ def age_midpoint(c: Column) -> Column:
     """Middle of the first ``lo-hi`` pair of numbers, truncated; NULL without one."""
     pattern = r"(\d+)\s*-\s*(\d+)"
     found = [F.regexp_extract(c, pattern, i) for i in (1, 2)]
-    low, high = (F.when(text != "", text.try_cast("int")) for text in found)
+    low, high = (F.when(text != "", text.try_cast("int").cast("long")) for text in found)
     return ((low + high) / 2).cast("int")
 
 

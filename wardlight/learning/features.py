@@ -164,12 +164,19 @@ def split_data(
     missing = [c for c in (key, S.TARGET_COLUMN) if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
-    step = split_step(key, seed)
-    border = round(train * SPLIT_STEPS)
+    # Ratios of whole ten-thousandths keep their steps; finer ones need as many as the hash has.
+    steps = SPLIT_STEPS if abs(train * SPLIT_STEPS - round(train * SPLIT_STEPS)) < 1e-9 else 2**32
+    step = split_step(key, seed, steps, [c for c in df.columns if c != key])
+    border = round(train * steps)
     return df.filter(step < border), df.filter(step >= border)
 
 
-def split_step(key: str, seed: int, steps: int = SPLIT_STEPS):
-    """Evenly spread number below ``steps`` from the first 32 bits of an MD5 hash."""
-    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+def split_step(key: str, seed: int, steps: int = SPLIT_STEPS, others: Sequence[str] = ()):
+    """Evenly spread number below ``steps`` from the first 32 bits of an MD5 hash.
+
+    A row without a key is placed by its other columns, so every row has a number.
+    """
+    text = F.col(key).cast("string")
+    rest = F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in others])) if others else F.lit("")
+    digest = F.md5(F.concat(F.coalesce(text, rest), F.lit(f":{seed}")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % steps

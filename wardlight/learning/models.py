@@ -147,7 +147,7 @@ def cross_validate(
         foldCol="fold",
         parallelism=parallelism,
     )
-    numbered = train.withColumn("fold", split_step("encounter_id", seed, folds).cast("int"))
+    numbered = train.withColumn("fold", split_step("encounter_id", seed, folds, [S.TARGET_COLUMN]).cast("int"))
     fitted = search.fit(numbered)
     rows = [
         (", ".join(f"{p.name}={v}" for p, v in setting.items()), float(mean), float(spread))

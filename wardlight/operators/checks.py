@@ -38,9 +38,12 @@ def validate_output_columns(df: DataFrame, required: Sequence[str] = tuple(S.CLE
 
 
 def validate_feature_columns(
-    given: DataFrame | list | tuple | set, require_target: bool = True
+    given: DataFrame | list | tuple | set,
+    require_target: bool = True,
+    inputs: Sequence[str] = tuple(S.FEATURE_COLUMNS),
 ) -> None:
-    """Raise unless every model input is there by its exact name."""
+    """Raise unless every model input is there by its exact name and none of ``inputs``, the
+    columns a model is to be trained on, gives the answer away."""
     if isinstance(given, DataFrame):
         names = set(given.columns)
     elif isinstance(given, (list, tuple, set)):
@@ -54,7 +57,7 @@ def validate_feature_columns(
         missing = [c for c in columns if c not in names]
         if missing:
             raise FeatureValidationError(f"missing {kind} columns: {missing}")
-    leaked = set(S.FEATURE_COLUMNS) & set(S.EXCLUDED_COLUMNS)
+    leaked = {c for c in inputs if c in S.EXCLUDED_COLUMNS or c == S.TARGET_COLUMN}
     if leaked:
         raise FeatureValidationError(f"excluded columns used as features: {sorted(leaked)}")
 

@@ -16,12 +16,11 @@ from pyspark.sql import functions as F
 from wardlight.session import materialize, shuffle_width
 
 PIECE = "_piece"
-MAX_PIECES = 1000
 
 
 def split_points(df: DataFrame, column: str, pieces: int | None = None) -> list[float]:
     """Quantiles of a numeric column, at most ``pieces - 1`` of them. One job, no shuffle."""
-    pieces = min(pieces or shuffle_width(df.sparkSession), MAX_PIECES)
+    pieces = pieces or shuffle_width(df.sparkSession)
     wanted = [i / pieces for i in range(1, pieces)]
     ordered = df.select(F.col(column).cast("double").alias(column))
     found = ordered.approxQuantile(column, wanted, 0.25 / pieces) if wanted else []
@@ -39,7 +38,7 @@ def with_piece(df: DataFrame, column: str, points: list[float]) -> DataFrame:
 
 
 def running_before(total: Column, *groups: str) -> Column:
-    """Sum of the earlier pieces' totals; at most MAX_PIECES + 1 rows per group."""
+    """Sum of the earlier pieces' totals; one row per piece and group."""
     window = W.partitionBy(*groups).orderBy(PIECE).rowsBetween(W.unboundedPreceding, -1)
     return F.coalesce(F.sum(total).over(window), F.lit(0))
 

@@ -6,7 +6,8 @@ import argparse
 import sys
 from typing import Any
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
 
 from wardlight import schema as S
 from wardlight.errors import ValidationError
@@ -18,7 +19,7 @@ from wardlight.operators.cleaning import clean_encounters
 from wardlight.operators.encoding import encode_encounters
 from wardlight.operators.views import patient_features
 from wardlight.session import build_session, materialize
-from wardlight.sources.files import read_clean, read_raw_csv, write_parquet
+from wardlight.sources.files import header_names, read_clean, read_raw_csv, write_parquet
 from wardlight.sources.tables import create_clean_table
 
 
@@ -31,13 +32,18 @@ def run_preprocessing(
 ) -> tuple[DataFrame, Row]:
     """Raw CSV to checked clean Parquet; the stored frame and its report.
 
-    The text is parsed once, into a staged copy. The report reads the few columns it
+    The header is checked first: its columns may come in any order. The text is parsed once,
+    into a staged copy. The report reads the few columns it
     needs from that copy, and only data that passes replaces the target.
     """
-    raw = read_raw_csv(spark, source)
-    validate_input_columns(raw)
-    raw_rows = raw.count()
-    staged = materialize(clean_and_encode(S.normalize_columns(raw)), "clean")
+    names = header_names(spark, source)
+    validate_input_columns(spark.createDataFrame([], ", ".join(f"`{n}` string" for n in names)))
+    raw = read_raw_csv(spark, source, names=names)
+    # The rows are counted while they are staged.
+    seen = Observation("raw rows")
+    watched = S.normalize_columns(raw).select(*S.RAW_COLUMNS).observe(seen, F.count(F.lit(1)).alias("rows"))
+    staged = materialize(clean_and_encode(watched), "clean")
+    raw_rows = seen.get["rows"]
     report = validate_cleaned_encounters(staged, raw_rows)
     write_parquet(staged, target)
     stored = create_clean_table(spark, table, target) if table else read_clean(spark, target)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,11 +41,14 @@ def tune(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the cluster's shared folder.
 
-    Only where the session names no such folder (tests, a laptop) is a local one
-    made and set, once per session.
+    Only where the session names no such folder and runs in one process (tests, a
+    laptop) is a local one made and set, once per session. On a cluster that is an error:
+    executors would not see the driver's own folder.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root and not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="wardlight-"))
         root = context.getCheckpointDir()
@@ -63,16 +67,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def use_all_cores(scan: DataFrame) -> DataFrame:
-    """Spread a scan of fewer tasks than the cluster has cores over all of them.
-
-    Only a small input, such as a single file, is read in so few; any larger one is
-    left as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def shuffle_width(spark: SparkSession) -> int:
     """How many ways the cluster is set up to split a shuffle."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

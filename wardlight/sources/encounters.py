@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wardlight import schema as S
-from wardlight.session import use_all_cores
 
 KEY_FORMULA = "o_orderkey * 7919 + o_custkey * 104729"
 
@@ -92,4 +91,4 @@ def encounters_from_orders(orders: DataFrame) -> DataFrame:
 
 def read_encounters(spark: SparkSession, data_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{data_dir}/orders.parquet").select("o_orderkey", "o_custkey")
-    return encounters_from_orders(use_all_cores(orders))
+    return encounters_from_orders(orders)

@@ -11,13 +11,24 @@ from wardlight import schema as S
 CORRUPT = "_corrupt_record"
 
 
-def read_raw_csv(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
+def header_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in the first line of the files."""
+    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+
+
+def read_raw_csv(
+    spark: SparkSession, path: str, keep_corrupt: bool = False, names: list[str] | None = None
+) -> DataFrame:
     """Raw encounters under their header's names, typed, without an inference pass.
 
-    The header is compared with the schema and a different one fails the read.
+    The header is compared with the schema and a different one fails the read. ``names``
+    are the columns in the order of the file, where that is known to be another.
     Lines that do not parse keep what does; ``keep_corrupt`` adds their text.
     """
     schema = S.RAW_SCHEMA
+    if names is not None:
+        kinds = {S.normalize_name(f.name): f.dataType for f in S.RAW_SCHEMA}
+        schema = T.StructType([T.StructField(n, kinds.get(S.normalize_name(n), T.StringType())) for n in names])
     if keep_corrupt:
         schema = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
     return (

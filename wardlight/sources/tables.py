@@ -9,10 +9,8 @@ from wardlight import schema as S
 
 def create_clean_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """External table of the 55 clean columns over Parquet files already written."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in S.CLEAN_SCHEMA)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}'")
-    return spark.table(name)
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
+    return spark.catalog.createTable(name, path=path, source="parquet", schema=S.CLEAN_SCHEMA)
 
 
 def write_clean_table(df: DataFrame, name: str, path: str, buckets: int) -> DataFrame:
