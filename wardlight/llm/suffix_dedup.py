@@ -324,37 +324,37 @@ def repeated_windows(contexts: list[tuple[bytes, int, int]], length: int) -> lis
     for at, context in enumerate(contexts):
         distinct.setdefault(context, []).append(at)
     flags = [np.zeros(windows, bool) for _, windows, _ in distinct]
-    ranges: dict[tuple, dict] = {}
-    for number, ((text, windows, anchor), copies) in enumerate(distinct.items()):
-        if len(copies) > 1:
-            flags[number][:] = True
-        # A window at place p is anchor - p bytes before the anchor.
-        low, high = (anchor - windows + 1) // RANGE, anchor // RANGE
-        for r in range(low, high + 1):
+    symbols: list[int] = []
+    strings: list[tuple[int, int, list]] = []
+    code = 258
+    for number, copies in enumerate(distinct.values()):
+        flags[number][:] = len(copies) > 1
+    # A window at place p is anchor - p bytes before the anchor. One range at a time is held.
+    for r in range(max((anchor for _, _, anchor in distinct), default=0) // RANGE + 1):
+        cores: dict[bytes, dict] = {}
+        for number, (text, windows, anchor) in enumerate(distinct):
             begin = anchor - RANGE * r
             a, b = max(begin - RANGE + 1, 0), min(begin, windows - 1)
+            if begin < 0 or a > b:
+                continue
             core = text[begin : begin - RANGE + 1 + length]
-            left, right = text[a:begin], text[begin - RANGE + 1 + length : b + length]
-            same = ranges.setdefault((r, hashlib.blake2b(core, digest_size=16).digest()), {})
-            same.setdefault((left, right), []).append((number, a, b))
-    symbols: list[int] = []
-    strings: list[tuple[int, int, list]] = []
-    for code, same in enumerate(ranges.values()):
-        if len(same) == 1:
-            (uses,) = same.values()
-            if len(uses) > 1:
-                for number, a, b in uses:
-                    flags[number][a : b + 1] = True
-            continue
-        for (left, right), uses in same.items():
-            if len(uses) > 1:
-                for number, a, b in uses:
-                    flags[number][a : b + 1] = True
-            strings.append((len(symbols), uses[0][2] - uses[0][1] + 1, uses))
-            symbols += [x + 2 for x in left]
-            symbols.append(258 + code)
-            symbols += [x + 2 for x in right]
-            symbols.append(1)
+            flanks = text[a:begin], text[begin - RANGE + 1 + length : b + length]
+            same = cores.setdefault(hashlib.blake2b(core, digest_size=16).digest(), {})
+            same.setdefault(flanks, []).append((number, a, b))
+        for same in cores.values():
+            for uses in same.values():
+                if len(uses) > 1:
+                    for number, a, b in uses:
+                        flags[number][a : b + 1] = True
+            if len(same) == 1:
+                continue
+            for (left, right), uses in same.items():
+                strings.append((len(symbols), uses[0][2] - uses[0][1] + 1, uses))
+                symbols += [x + 2 for x in left]
+                symbols.append(code)
+                symbols += [x + 2 for x in right]
+                symbols.append(1)
+            code += 1
     if strings:
         symbols.append(0)
         array = np.array(suffix_array(symbols), np.int64)
