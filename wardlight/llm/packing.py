@@ -41,6 +41,18 @@ OPEN = pa.schema(
 )
 
 
+class Known(dict):
+    """Numbers of words; those not known yet are noted and have none."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: set[str] = set()
+
+    def __missing__(self, word: str) -> int:
+        self.new.add(word)
+        return -1
+
+
 class WordEncoder:
     """Ids of a text by a tokenizer that drops white space and lets no token span it.
 
@@ -60,7 +72,7 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Known()
         self.flat, self.starts = array("I"), array("I", [0])
 
     def _keep(self, word: str, ids) -> None:
@@ -104,14 +116,17 @@ class WordEncoder:
             self._forget()
         split = [text.replace("\n", " ").split(" ") for text in texts]
         words = [word for own in split for word in own if word]
-        if new := set(words) - self.known.keys():
-            self._learn(new)
         at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        if self.known.new:
+            new, self.known.new = self.known.new, set()
+            self._learn(new)
+            for k in np.flatnonzero(at < 0).tolist():
+                at[k] = self.known[words[k]]
         flat, starts = np.array(self.flat, "<u4"), np.array(self.starts, np.int64)
         sizes = starts[at + 1] - starts[at]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         ids = flat[np.repeat(starts[at] - ends[:-1], sizes) + np.arange(ends[-1])]
-        cuts = ends[np.concatenate([[0], np.cumsum([sum(map(bool, own)) for own in split])])]
+        cuts = ends[np.concatenate([[0], np.cumsum([len(own) - own.count("") for own in split])])]
         return [np.append(ids[a:b], np.uint32(end)).astype("<u4") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
@@ -188,10 +203,10 @@ def _pack_task(path: str, end: int, length: int, open_windows: int):
             if packer is None and tasks:
                 task = tasks[0]
                 packer = Packer(length, open_windows, task << 32)
-            for at in range(0, len(texts), 200):
+            for at in range(0, len(texts), 500):
                 rows = (
                     row
-                    for doc, ids in zip(docs[at : at + 200], encoder.encode(texts[at : at + 200], end), strict=True)
+                    for doc, ids in zip(docs[at : at + 500], encoder.encode(texts[at : at + 500], end), strict=True)
                     for row in packer.add(doc, 0, ids, len(ids))
                 )
                 yield from rows_of(OPEN, rows)
