@@ -426,6 +426,16 @@ def test_first_of_each(docs):
     assert kept.count(20) == 0 and 0 in kept and 10 not in kept and 12 in kept and 21 not in kept
 
 
+def test_first_of_each_with_repeated_and_null_keys(spark):
+    apart = ["alpha beta gamma delta epsilon", "one two three four five six", "uno due tre quattro cinque sei"]
+    rows = [(7, apart[0]), (7, apart[1]), (None, apart[2]), (None, apart[2]), (None, apart[0]), (7, apart[1]), (9, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    kept = [tuple(r) for r in jaccard_join.first_of_each(frame, 5, 80).collect()]
+    same_rows(kept, [(7, apart[0]), (7, apart[1]), (None, apart[2]), (9, "")])
+    linked = jaccard_join.link(frame, 5, 80)
+    assert linked.filter("n_shingles > 0").select("head").distinct().count() == 3
+
+
 def test_components(spark):
     links = [(5, 4), (4, 3), (9, 8), (8, 7), (7, 6), (6, 3), (20, 21), (20, 20), (5, 4)]
     frame = spark.createDataFrame(links, "a long, b long")

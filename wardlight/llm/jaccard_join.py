@@ -430,8 +430,9 @@ def _list_members(heads: DataFrame, buckets: int) -> DataFrame:
 def link(
     docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """One row per row of ``docs``: its number ``row``, the key, n_shingles and component_id, the
-    smallest key that links lead to."""
+    """One row per row of ``docs``: its number ``row``, the key, n_shingles, component_id, the
+    smallest key that links lead to, and ``head``, the number of one row of the component, which
+    tells components apart where keys repeat or are null; rows without words have none."""
     buckets = shuffle_width(docs.sparkSession)
     named = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     read = texts_of(named, "doc_id", row="row")
@@ -519,6 +520,7 @@ def link(
         F.col("doc_id").alias(key),
         F.col("size").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
+        "head",
     )
 
 
@@ -526,10 +528,14 @@ def first_of_each(
     docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``docs`` without the rows that are linked to a row of a smaller key; of rows with the same
-    key, to an earlier one. Rows without words are linked with nothing and stay."""
+    key, to an earlier one. A null key comes after all others. Rows of one key that are not linked
+    all stay, and so do rows without words, which are linked with nothing."""
     linked = link(docs, n, percent, key, text).filter("n_shingles > 0")
-    first = linked.groupBy("component_id").agg(F.min(F.struct(key, "row")).alias("first"))
-    others = linked.join(first, "component_id").filter(F.col("row") != F.col("first.row")).select("row")
-    gone = materialize(others, "linked-rows")
+    order = F.struct(F.col(key).isNull().alias("unknown"), F.col(key).alias("key"), "row")
+    first = linked.groupBy("head").agg(F.min(order)["row"].alias("first"))
+    # The first rows are one per component and leave as they are: no join meets a large component.
+    gone = materialize(
+        linked.select("row").join(first.select(F.col("first").alias("row")), "row", "left_anti"), "linked-rows"
+    )
     whole = docs.select(F.struct("*").alias("whole"), F.monotonically_increasing_id().alias("row"))
     return whole.join(gone, "row", "left_anti").select("whole.*")
