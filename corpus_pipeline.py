@@ -35,8 +35,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_units(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sentences that an earlier document has are cut out; the count of characters follows."""
-    left = unit_dedup.dedup_units(docs, ranks=("doc_id",), keep=("lang", "source"))
+    """Sentences, lines and passages that an earlier document has are cut out; the count of characters follows."""
+    left = unit_dedup.dedup_units(docs, ranks=("doc_id",), unit="passage", keep=("lang", "source"))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

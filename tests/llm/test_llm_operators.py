@@ -475,3 +475,23 @@ def test_units_stay_once(docs, none):
         spliced = ["".join(t[a:b] for a, b in zip([0, *[e for _, e in cuts]], [*[s for s, _ in cuts], len(t)], strict=True)) for t in whole]
         assert r["text"] in spliced
     assert unit_dedup.dedup_units(none).count() == 0
+
+
+def runs_of(text, n):
+    words = text.lower().split()
+    return {tuple(words[k : k + n]) for k in range(len(words) - n + 1)}
+
+
+def test_passages_are_found_wherever_they_start(spark):
+    rng = random.Random(8)
+    made = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    shared = [made(50) for _ in range(40)]
+    texts = [f"{made(rng.randint(0, 30))} {p} {made(rng.randint(0, 30))}" for p in shared for _ in range(2)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(unit_dedup.dedup_units(frame, unit="passage").collect())
+    left = [r["text"] for r in rows]
+    seen = Counter(run for t in left for run in runs_of(t, 50))
+    assert max(seen.values()) == 1 and left[:80:2] == texts[:80:2]
+    for r, t in zip(rows, texts, strict=True):
+        cuts = list(zip(r["removed_starts"], r["removed_ends"], strict=True))
+        assert r["text"] == "".join(t[a:b] for a, b in zip([0, *[e for _, e in cuts]], [*[s for s, _ in cuts], len(t)], strict=True))
