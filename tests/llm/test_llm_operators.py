@@ -495,3 +495,16 @@ def test_passages_are_found_wherever_they_start(spark):
     for r, t in zip(rows, texts, strict=True):
         cuts = list(zip(r["removed_starts"], r["removed_ends"], strict=True))
         assert r["text"] == "".join(t[a:b] for a, b in zip([0, *[e for _, e in cuts]], [*[s for s, _ in cuts], len(t)], strict=True))
+
+
+def test_short_units_are_found(spark):
+    rng = random.Random(9)
+    made = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    short = " ".join(f"{made(2)}." for _ in range(20))
+    letters = "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(80))
+    texts = [f"{made(9)} {short} {made(9)}", f"{made(9)}. {short}", letters, "文" + letters[:60]]
+    texts += [made(12) + "\nAll rights reserved.\n" + made(12), made(12) + "\nall rights  reserved.\n" + made(12)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = [r["text"] for r in sorted(unit_dedup.dedup_units(frame, unit="passage").collect())]
+    assert left[::2] == texts[::2]
+    assert sum(s in left[1] for s in short.split(". ")) < 10 and len(left[3]) < 30 and "rights" not in left[5]
