@@ -212,6 +212,27 @@ def test_urls(spark):
     assert url_filter.judge(pages.limit(0), RULES, counts).count() == 0
 
 
+def test_each_token_has_its_own_weight(spark):
+    letters = lambda k: "".join(chr(97 + k // 26**p % 26) for p in range(4))
+    paths = ["/".join(letters(400 * page + k) for k in range(400)) for page in range(220)]
+    urls = [(k, f"http://{'poker' if k % 5 == 0 else 'tree'}.net/{p}/{letters(k % 7)}") for k, p in enumerate(paths)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    counts = spark.createDataFrame([("tree", 500), ("net", 500)], "word string, n long")
+    rows = {r["page_id"]: r for r in url_filter.judge(pages, [], counts).collect()}
+    tokens = {k: [*("h " + w for w in r["words"]), *("p " + w for w in url_filter.tokens_of(r["path"]))] for k, r in rows.items()}
+    seen = {True: Counter(), False: Counter()}
+    for k, own in tokens.items():
+        bad = not {t[2:] for t in own}.isdisjoint(url_filter.SEEDS)
+        seen[bad].update(own)
+        seen[bad]["urls"] += 1
+    vocabulary = {t for own in tokens.values() for t in own}
+    assert len(vocabulary) > 80_000
+    share = lambda t, bad: (seen[bad][t] + 0.01) / (seen[bad].total() - seen[bad]["urls"] + 0.01 * len(vocabulary))
+    for k, own in tokens.items():
+        odds = sum(np.log(share(t, True) / share(t, False)) for t in own)
+        assert rows[k]["score"] == pytest.approx(np.log((seen[True]["urls"] + 1) / (seen[False]["urls"] + 1)) + odds)
+
+
 def test_viterbi_is_the_cheapest_split():
     costs = {"ca": 3.0, "sino": 3.0, "casino": 4.0, "win": 2.0, "inow": 1.0, "cas": 2.0}
     unknown = lambda n: 5.0 + 3 * n

@@ -6,9 +6,9 @@ charged by its length. The word counts come from a table of any size: the substr
 the distinct hosts are joined to it, so no vocabulary is broadcast. A multinomial naive
 Bayes over host words and path tokens then judges what no rule decides. It learns from all
 urls: those with a seed word among their tokens are its examples of block, all others of
-allow, so words that keep company with seeds count against a url too. Its counts are
-summed in ``buckets`` cells by a hash of the token, so the model has one size whatever the
-input, and that is all that reaches the driver.
+allow, so words that keep company with seeds count against a url too. Its counts are kept
+for each token by itself in a table that grows with the corpus: the weights are joined to the
+tokens of distinct hosts and distinct paths, and only their totals reach the driver.
 
 Defined cases: a url that is null or has no ``://`` has empty host and path, no token, and
 is judged by the prior alone; without any url the prior is even; ties go to allow; repeated pages are judged each alone; a host that a third of
@@ -21,7 +21,6 @@ import math
 import re
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +30,6 @@ from wardlight.operators.spread import join_spread
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MAX_WORD = 24
-CELLS = 1 << 16
 ALLOW, BLOCK = "allow", "block"
 RUNS = re.compile(r"[^\W\d_]+|\d+")
 NUMBER = "0"
@@ -174,73 +172,66 @@ def segment_hosts(hosts: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def _bucket_task(cells: int):
-    """Cells of the tokens of a page: host words and path tokens are told apart."""
-
+def _path_tokens_task():
     def run(batches):
-        import xxhash
-
         for batch in batches:
-            lists = [
-                [
-                    xxhash.xxh3_64_intdigest(t) % cells
-                    for t in ["h " + w for w in words or ()] + ["p " + w for w in tokens_of(path)]
-                ]
-                for words, path in zip(one_of("words", batch), one_of("path", batch), strict=True)
-            ]
+            lists = [["p " + w for w in tokens_of(path)] for path in one_of("path", batch)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(lists, pa.list_(pa.int32()))], names=[*batch.schema.names, "cells"]
+                [*batch.columns, pa.array(lists, pa.list_(pa.string()))], names=[*batch.schema.names, "tokens"]
             )
 
     return run
 
 
-@dataclass
-class NaiveBayes:
-    """Log odds of block against allow: of the prior and of each cell."""
-
-    prior: float
-    weights: np.ndarray
-
-    def score(self, lists: pa.ListArray) -> np.ndarray:
-        values = self.weights[lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)]
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in lists.to_pylist()])]).astype(np.int64)
-        sums = np.concatenate([[0.0], np.cumsum(values)])
-        return self.prior + sums[ends[1:]] - sums[ends[:-1]]
-
-
-def fit(labelled: DataFrame, cells: int = CELLS, pseudo: float = 0.01) -> NaiveBayes:
-    """Multinomial naive Bayes from columns ``cells`` and ``label``. Most cells are empty, so
-    each gets only a small pseudo-count."""
-    rows = (
-        labelled.select("label", F.explode(F.concat(F.array(F.lit(-1)), "cells")).alias("cell"))
-        .groupBy("label", "cell")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .toPandas()
+def url_parts(pages: DataFrame) -> DataFrame:
+    """Distinct hosts and paths of ``pages`` (host, words, path, label): kind, part, tokens, the
+    pages of either label that have the part, and a number. Host words and path tokens are told apart."""
+    sums = [F.count(F.when(F.col("label") == c, 1)).alias(c) for c in (ALLOW, BLOCK)]
+    hosts = pages.groupBy("host").agg(F.first("words").alias("words"), *sums).select(
+        F.lit("host").alias("kind"),
+        F.col("host").alias("part"),
+        F.transform(F.coalesce("words", F.array().cast("array<string>")), lambda w: F.concat(F.lit("h "), w)).alias(
+            "tokens"
+        ),
+        ALLOW,
+        BLOCK,
     )
-    counts = {}
-    for label in (ALLOW, BLOCK):
-        own = rows[rows["label"] == label]
-        n = np.zeros(cells + 1)
-        n[own["cell"].to_numpy(dtype=np.int64)] = own["n"].to_numpy(dtype=np.float64)
-        counts[label] = n  # the last cell has the urls themselves
-    allow, block = counts[ALLOW], counts[BLOCK]
-    smooth = {k: np.log((n[:-1] + pseudo) / (n[:-1].sum() + pseudo * cells)) for k, n in counts.items()}
-    return NaiveBayes(
-        math.log((block[-1] + 1) / (allow[-1] + 1)), smooth[BLOCK] - smooth[ALLOW]
+    paths = (
+        pages.groupBy("path")
+        .agg(*sums)
+        .mapInArrow(_path_tokens_task(), f"path string, {ALLOW} long, {BLOCK} long, tokens array<string>")
+        .select(F.lit("path").alias("kind"), F.col("path").alias("part"), "tokens", ALLOW, BLOCK)
+    )
+    numbered = hosts.unionByName(paths).withColumn("number", F.monotonically_increasing_id())
+    return materialize(numbered, "url-parts")
+
+
+def part_scores(parts: DataFrame, pseudo: float = 0.01) -> DataFrame:
+    """kind, part and score: multinomial naive Bayes, the log odds of block against allow summed over
+    the part's tokens. A token seen with one label only gets but a small pseudo-count for the other."""
+    tokens = parts.select("number", ALLOW, BLOCK, F.explode("tokens").alias("token"))
+    counts = materialize(
+        tokens.groupBy("token").agg(
+            F.sum(ALLOW).alias(ALLOW), F.sum(BLOCK).alias(BLOCK), F.count(F.lit(1)).alias("_rows")
+        ),
+        "token-counts",
+    )
+    n_allow, n_block, distinct = (
+        x or 0 for x in counts.agg(F.sum(ALLOW), F.sum(BLOCK), F.count(F.lit(1))).first()
     )
 
-
-def _score_task(model):
-    def run(batches):
-        bayes = model.value
-        for batch in batches:
-            scores = bayes.score(batch.column(batch.schema.get_field_index("cells")))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"]
-            )
-
-    return run
+    def share(label: str, total: int):
+        return F.log((F.col(label) + pseudo) / F.lit(float(total + pseudo * distinct)))
+
+    weights = counts.select("token", (share(BLOCK, n_block) - share(ALLOW, n_allow)).alias("weight"))
+    met = join_spread(tokens.select("number", "token"), weights, ["token"], counts.select("token", "_rows"))
+    # Added in order of size, so that the sum does not depend on the order in which rows arrive.
+    total = F.aggregate(F.array_sort(F.collect_list("weight")), F.lit(0.0), lambda x, y: x + y)
+    summed = met.groupBy("number").agg(total.alias("score"))
+    return materialize(
+        parts.join(summed, "number", "left").select("kind", "part", F.coalesce("score", F.lit(0.0)).alias("score")),
+        "part-scores",
+    )
 
 
 def judge(
@@ -250,7 +241,6 @@ def judge(
     key: str = "page_id",
     url: str = "url",
     seeds=SEEDS,
-    cells: int = CELLS,
 ) -> DataFrame:
     """Per row of ``pages``: key, host, path, rule, verdict, and the model's words and score
     (log odds of block). ``counts`` has columns word and n; ``seeds`` are added to it."""
@@ -264,20 +254,25 @@ def judge(
     )
     read = read.withColumn("found", rule_for(F.col("host"), F.col("path"), rules))
     words = materialize(segment_hosts(read, materialize(counts, "word-counts")), "host-words")
-    kind = f"key {read.schema['key'].dataType.simpleString()}, host string, path string, rule string"
-    kind += ", given string, words array<string>, cells array<int>"
-    celled = materialize(
-        join_spread(read, words, ["host"])
-        .select("key", "host", "path", "found.rule", F.col("found.verdict").alias("given"), "words")
-        .mapInArrow(_bucket_task(cells), kind),
-        "url-cells",
-    )
     marked = F.arrays_overlap(
         F.concat("words", F.split(F.lower("path"), "[^a-z]+")), F.array(*[F.lit(w) for w in seeds])
     )
-    labelled = celled.withColumn("label", F.when(marked, BLOCK).otherwise(ALLOW))
-    model = spark.sparkContext.broadcast(fit(labelled, cells))
-    scored = celled.mapInArrow(_score_task(model), kind + ", score double")
+    split = materialize(
+        join_spread(read, words, ["host"])
+        .select("key", "host", "path", "found.rule", F.col("found.verdict").alias("given"), "words")
+        .withColumn("label", F.when(marked, BLOCK).otherwise(ALLOW)),
+        "url-words",
+    )
+    block, pages_read = split.agg(F.count(F.when(F.col("label") == BLOCK, 1)), F.count(F.lit(1))).first()
+    prior = math.log((block + 1) / (pages_read - block + 1))
+    scores = part_scores(url_parts(split))
+    scored = split
+    for part in ("host", "path"):
+        own = scores.filter(F.col("kind") == part)
+        scored = join_spread(
+            scored, own.select(F.col("part").alias(part), F.col("score").alias(f"{part}_score")), [part]
+        )
+    scored = scored.withColumn("score", F.lit(prior) + F.col("host_score") + F.col("path_score"))
     verdict = F.coalesce("given", F.when(F.col("score") > 0, BLOCK).otherwise(ALLOW))
     return scored.select(
         F.col("key").alias(key), "host", "path", "rule", verdict.alias("verdict"), "words", "score"
