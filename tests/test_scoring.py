@@ -108,3 +108,13 @@ def test_profiles_follow_the_patient(scored):
     got = profiles.collect()
     assert {r["encounter_id"]: r["previous_risk_score"] for r in got} == expected
     assert all(r["factor_1"] and r["factor_3"] for r in got)
+
+
+def test_profiles_have_as_many_factors_as_asked_for(scored):
+    some = scored.limit(20)
+    factors = scoring.top_factors(some, scoring.contribution_array(WEIGHTS), 5)
+    details = some.select("encounter_id", "patient_nbr")
+    profiles = scoring.patient_profiles(details, some, factors, pieces=2, k=5).collect()
+    named = {(r["encounter_id"], r["factor_rank"]): r["feature"] for r in factors.collect()}
+    assert len(named) > 3 * len(profiles)
+    assert {(r["encounter_id"], i): r[f"factor_{i}"] for r in profiles for i in range(1, 6) if r[f"factor_{i}"]} == named

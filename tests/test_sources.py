@@ -148,6 +148,23 @@ def test_bundles_of_encounters_come_back(spark, clean):
     assert same(back, clean.select(kept))
 
 
+def test_all_ranks_codings_and_broken_bundles_are_accounted_for(spark):
+    snomed = {"system": "http://snomed.info/sct", "code": "999"}
+    mixed = condition("a", "428")
+    mixed["code"]["coding"].insert(0, snomed)
+    made = [bundle(encounter(1, ("a", 1), ("b", 4), ("absent", 5)), mixed), bundle(condition("b", "250")), bundle(condition("b", "401"))]
+    rows = bundle_rows(spark, made)
+    assert [r["diag_1"] for r in bundles.flatten_bundles(rows).collect()] == ["428"]
+    assert ("a", bundles.ICD9, "428") in [tuple(r) for r in bundles.flatten_conditions(rows).collect()]
+    listed = {tuple(r) for r in bundles.flatten_diagnoses(rows).collect()}
+    assert listed == {
+        (1, 1, "a", bundles.ICD9, "428"), (1, 1, "a", snomed["system"], "999"), (1, 4, "b", bundles.ICD9, "250"),
+        (1, 4, "b", bundles.ICD9, "401"), (1, 5, "absent", None, None),
+    }
+    broken = rows.unionByName(spark.createDataFrame([("{not json",), (None,), ("{}",)], "bundle string"))
+    assert tuple(bundles.bundle_report(broken).first()) == (6, 1, 1, 1)
+
+
 def test_broken_bundles_give_no_rows(spark):
     rows = spark.createDataFrame([("{not json",), (None,), ("{}",)], "bundle string")
     assert bundles.flatten_bundles(rows).count() == 0

@@ -223,10 +223,10 @@ def first_rows(df: DataFrame, n: int, key: str = "encounter_id") -> DataFrame:
 
 
 def patient_profiles(
-    details: DataFrame, scored: DataFrame, factors: DataFrame, pieces: int | None = None
+    details: DataFrame, scored: DataFrame, factors: DataFrame, pieces: int | None = None, k: int = 3
 ) -> DataFrame:
     """Encounters with their risk, the risk at the patient's last encounter, and their
-    leading factors.
+    leading factors: as many as ``k``, which is that of ``top_factors``.
 
     ``scored`` is best a stored table, since it is read several times. Ids must not
     repeat in it or in ``details``, which is checked.
@@ -244,7 +244,7 @@ def patient_profiles(
     named = factors.groupBy("encounter_id").agg(
         *[
             F.max(F.when(F.col("factor_rank") == i, F.col("feature"))).alias(f"factor_{i}")
-            for i in (1, 2, 3)
+            for i in range(1, k + 1)
         ]
     )
     return details.join(risks, "encounter_id").join(named, "encounter_id", "left")

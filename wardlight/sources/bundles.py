@@ -94,8 +94,55 @@ def resources(bundles: DataFrame, column: str = "bundle") -> DataFrame:
     ).select("entry.resource.*")
 
 
+def _coding(codings: Column) -> Column:
+    """The coding a column of codes takes: the first in ICD-9, else the first of all."""
+    own = F.filter(codings, lambda c: c["system"] == ICD9)
+    return F.coalesce(F.get(own, F.lit(0)), F.get(codings, F.lit(0)))
+
+
+def bundle_report(bundles: DataFrame, column: str = "bundle") -> DataFrame:
+    """One row: n_bundles, n_null, n_unparsed (text that is not JSON of the schema, whole or in
+    part) and n_without_entries (parsed, but nothing in it), so that what gives no rows is known."""
+    read = F.from_json(
+        column, f"{BUNDLE_SCHEMA}, _unparsed string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unparsed"}
+    )
+    given, broken = F.col(column).isNotNull(), F.col("_read._unparsed").isNotNull()
+    bare = F.coalesce(F.size("_read.entry"), F.lit(0)) < 1
+    return bundles.select(column, read.alias("_read")).agg(
+        F.count(F.lit(1)).alias("n_bundles"),
+        F.count_if(~given).alias("n_null"),
+        F.count_if(given & broken).alias("n_unparsed"),
+        F.count_if(given & ~broken & bare).alias("n_without_entries"),
+    )
+
+
+def flatten_diagnoses(bundles: DataFrame, column: str = "bundle") -> DataFrame:
+    """Every diagnosis an encounter lists, whatever its rank: encounter_id, rank, condition_id, and
+    each distinct system and code of the Condition and its copies; NULL where no Condition came."""
+    found = materialize(
+        resources(bundles, column).filter(F.col("resourceType").isin("Encounter", "Condition")), "resources"
+    )
+    listed = materialize(
+        found.filter(F.col("resourceType") == "Encounter")
+        .select(F.col("id").cast("long").alias("encounter_id"), F.explode("diagnosis").alias("listed"))
+        .select("encounter_id", "listed.rank", _key(F.col("listed.condition.reference")).alias("condition_id"))
+        .distinct(),
+        "all-diagnoses",
+    )
+    codings = (
+        found.filter(F.col("resourceType") == "Condition")
+        .select(F.col("id").alias("condition_id"), F.explode("code.coding").alias("coding"))
+        .groupBy("condition_id")
+        .agg(F.array_sort(F.collect_set("coding")).alias("codings"))
+    )
+    return join_spread(listed, codings, ["condition_id"]).select(
+        "encounter_id", "rank", "condition_id", F.explode_outer("codings").alias("coding")
+    ).select("encounter_id", "rank", "condition_id", "coding.system", "coding.code")
+
+
 def flatten_bundles(bundles: DataFrame, column: str = "bundle") -> DataFrame:
-    """Encounter rows with their ranked diagnosis codes.
+    """Encounter rows with the codes of their diagnoses of rank 1 to 3; ``flatten_diagnoses`` has
+    all ranks and codings, ``bundle_report`` counts what gives no rows.
 
     A diagnosis reference meets its Condition by id; codes are then spread to
     columns by a conditional aggregate that is combined before it is shuffled. The
@@ -122,10 +169,11 @@ def flatten_bundles(bundles: DataFrame, column: str = "bundle") -> DataFrame:
     )
     # Copies of a condition, however many were sent, collapse before the join; the
     # join then keeps the aggregate's partitioning.
+    coding = _coding(F.col("code.coding"))
     conditions = (
         found.filter(F.col("resourceType") == "Condition")
         .groupBy(F.col("id").alias("condition_id"))
-        .agg(F.max(F.col("code.coding")[0]["code"]).alias("code"))
+        .agg(F.max(F.struct(coding["system"].eqNullSafe(ICD9).alias("own"), coding["code"].alias("code")))["code"].alias("code"))
     )
     # Copies of an encounter collapse too, and a condition that very many encounters
     # name is joined apart from the shuffle.
@@ -138,11 +186,12 @@ def flatten_bundles(bundles: DataFrame, column: str = "bundle") -> DataFrame:
 
 
 def flatten_conditions(bundles: DataFrame, column: str = "bundle") -> DataFrame:
-    """Condition rows: their id and code."""
+    """Condition rows: their id and the coding chosen by system, then by place."""
+    coding = _coding(F.col("code.coding"))
     return resources(bundles, column).filter(F.col("resourceType") == "Condition").select(
         F.col("id").alias("condition_id"),
-        F.col("code.coding")[0]["system"].alias("system"),
-        F.col("code.coding")[0]["code"].alias("code"),
+        coding["system"].alias("system"),
+        coding["code"].alias("code"),
     )
 
 
