@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import boosted_trees, byte_bpe, jaccard_join, packing, pitman_yor, quality_rules, suffix_dedup, unit_dedup, url_filter, vantage
+from wardlight.llm import (
+    boosted_trees,
+    byte_bpe,
+    jaccard_join,
+    packing,
+    pitman_yor,
+    quality_rules,
+    structure_repair,
+    suffix_dedup,
+    unit_dedup,
+    url_filter,
+    vantage,
+)
 from wardlight.llm.common import table
 
 
@@ -118,6 +130,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, finish="digest")
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return structure_repair.repair(structure_repair.damage(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_vantage_search": op2_vantage_search,
@@ -129,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_unit_dedup": op9_unit_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_structure_repair": op13_structure_repair,
 }
 
 #: Units, their normal forms and first occurrences; neighbouring removed units are one span.
