@@ -8,7 +8,8 @@ import zlib
 
 import pytest
 
-from wardlight.llm import structure_repair
+from wardlight.llm import prefix_trie, structure_repair
+from wardlight.llm.tree_contraction import subtree_sums
 
 SCHEMA = "conv_id long, turn long, role string, text string, conv string, copies int, fault string, depth long"
 
@@ -126,3 +127,75 @@ def test_repair_of_long_and_empty(spark, talks, plan):
     assert re.fullmatch("(ua)+", "".join(r.role[0] for r in left))
     assert plan(structure_repair.repair(long)).count("Exchange hashpartitioning") == 1
     assert structure_repair.repair(structure_repair.damage(talks.limit(0))).count() == 0
+
+
+def brute_trie(rows):
+    own = {}
+    for c, t, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((t is not None, t or 0, role or "", text or ""))
+    own = {c: [x[2:] for x in sorted(v)] for c, v in own.items()}
+    members, ends = {}, {}
+    for c in sorted(own):
+        h = zlib.crc32(str(c).encode()) % 9
+        donor = c - (abs(c) % 5) * (1 if c >= 0 else -1)
+        turns = tuple(own.get(donor, [])[:h] + own[c][h:])
+        for d in range(len(turns) + 1):
+            members.setdefault(turns[:d], []).append(c)
+        ends.setdefault(turns, []).append(c)
+    out = []
+    for node, convs in members.items():
+        below = [x for x in members if x[: len(node)] == node]
+        leaves = [x for x in below if not any(y[: len(x)] == x and len(y) > len(x) for y in below)]
+        out.append((
+            convs[0], len(node), members[node[:-1]][0] if node else None, len(convs),
+            sum(len(x) == len(node) + 1 for x in below), len(leaves),
+            sum((len(members[x]) - 1) * len(x[-1][1].encode()) for x in below if x),
+            hashlib.sha256(",".join(map(str, ends.get(node, []))).encode()).hexdigest(),
+        ))
+    return out
+
+
+def test_trie(spark, talks, monkeypatch):
+    rng = random.Random(8)
+    more = [(c, t, rng.choice(["user", "assistant"]), rng.choice("xy")) for c in range(100, 160) for t in range(rng.choice([2, 9, 14]))]
+    more += [(c, t, "user", "same") for c in range(200, 240) for t in range(6)]
+    frame = talks.unionByName(spark.createDataFrame(more, "conv_id long, turn long, role string, text string"), allowMissingColumns=True)
+    monkeypatch.setattr(prefix_trie, "PIECE_BYTES", 40)
+    found = prefix_trie.trie(frame).drop("ka", "kb").collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, brute_trie(conversations() + more)))
+
+
+def test_trie_of_nothing(talks):
+    assert prefix_trie.trie(talks.limit(0)).count() == 0
+    assert prefix_trie.trie(talks.filter("conv_id IS NULL")).count() == 0
+
+
+def test_trie_of_one_long_conversation(spark):
+    """Spread over many partitions: depths, sums and the chain's contraction hold."""
+    rows = spark.range(3000).selectExpr("5L AS conv_id", "id AS turn", "'user' AS role", "cast(id AS string) AS text")
+    h = zlib.crc32(b"5") % 9
+    turns = prefix_trie.numbered_turns(rows)
+    assert turns.select("piece").distinct().count() > 3
+    assert [r[0] for r in turns.orderBy("at").select("pos").collect()] == list(range(3000))
+    nodes = prefix_trie.prefixes(turns)
+    assert nodes.count() == 3001 and nodes.select("depth", "ka", "kb").distinct().count() == 3001, h
+
+
+def test_subtree_sums(spark):
+    """A forest of a chain, a star and a random tree."""
+    rng = random.Random(4)
+    parent = {0: None, 200: None, 400: None}
+    for i in range(1, 120):
+        parent |= {i: i - 1, 200 + i: 200, 400 + i: 400 + rng.randrange(max(0, i - 5), i)}
+    depth, sums = {}, dict.fromkeys(parent, 0)
+    for i, p in parent.items():
+        depth[i] = 0 if p is None else depth[p] + 1
+        at = i
+        while at is not None:
+            sums[at] += i + 1
+            at = parent[at]
+    rows = [(i, p, depth[i], i + 1, None) for i, p in parent.items()]
+    tree = spark.createDataFrame(rows, "id long, parent long, depth long, v long, none long")
+    found = subtree_sums(tree, ["v", "none"]).collect()
+    assert {r["id"]: r["v"] for r in found} == sums and not any(r["none"] for r in found)

@@ -14,6 +14,7 @@ from wardlight.llm import (
     jaccard_join,
     packing,
     pitman_yor,
+    prefix_trie,
     quality_rules,
     structure_repair,
     suffix_dedup,
@@ -130,6 +131,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, finish="digest")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie.trie(table(spark, sf_dir, "conversations"), borrow=9, share=5)
+    return nodes.drop("ka", "kb")
+
+
 def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return structure_repair.repair(structure_repair.damage(rows))
@@ -146,6 +152,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_unit_dedup": op9_unit_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_structure_repair": op13_structure_repair,
 }
 
