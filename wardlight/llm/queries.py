@@ -13,6 +13,7 @@ from wardlight.llm import (
     byte_bpe,
     jaccard_join,
     packing,
+    phrase_index,
     pitman_yor,
     prefix_trie,
     quality_rules,
@@ -131,6 +132,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, finish="digest")
 
 
+def op11_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    index = phrase_index.build(docs)
+    matches = phrase_index.search(index, table(spark, sf_dir, "benchmark"), window=10)
+    return phrase_index.contamination(index, matches).select(
+        F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = prefix_trie.trie(table(spark, sf_dir, "conversations"), borrow=9, share=5)
     return nodes.drop("ka", "kb")
@@ -152,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_unit_dedup": op9_unit_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_phrase_index": op11_phrase_index,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_structure_repair": op13_structure_repair,
 }
@@ -193,4 +209,33 @@ SELECT d.doc_id, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(n_removed, 0)
 FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN spans USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op9_unit_dedup": OP9_SQL}
+#: Every window of an item joined to every window of that length of every document.
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), sought AS (
+  SELECT DISTINCT item, n, array_to_string(w[i : i + n - 1], ' ') AS words
+  FROM (SELECT item, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), there AS (
+  SELECT r, n, i, array_to_string(w[i : i + n - 1], ' ') AS words
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM sought))
+), hits AS (
+  SELECT r, i, n, item FROM there JOIN sought USING (n, words)
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r
+), listed AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN listed USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op9_unit_dedup": OP9_SQL, "op11_phrase_index": OP11_SQL}
