@@ -17,18 +17,20 @@ repeated rows are encoded each alone, ids may be null; no other column is read.
 
 from __future__ import annotations
 
+import array
 import base64
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import one_of, rows_of, shuffle_width, texts_of
+from wardlight.llm.common import one_of, rows_of, shuffle_width, texts_of, worker_kept
 
-#: Pieces remembered by a task; it starts over beyond that, so its memory is bounded.
+#: Pieces remembered by a worker; it starts over beyond that, so its memory is bounded.
 REMEMBERED = 300_000
 
 
@@ -37,8 +39,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
+class Known(dict):
+    """Pieces met, each with its ids as packed 32-bit numbers."""
+
+    def __init__(self, encode_piece):
+        self.encode_piece = encode_piece
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self[piece] = array.array("i", self.encode_piece(piece) if piece else ()).tobytes()
+        return found
+
+
 class Coder:
-    """Ids of pieces and bytes of ids for one vocabulary and one pattern."""
+    """Ids of pieces, and the decimal text and the bytes of ids, for one vocabulary and pattern."""
 
     def __init__(self, ranks_path: str, pattern: str):
         import regex
@@ -46,24 +59,39 @@ class Coder:
 
         ranks = read_ranks(ranks_path)
         self.pieces = regex.compile(pattern)
-        self.library = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.known: dict[str, list[int]] = {}
-
-    def encode_pieces(self, pieces: list[str]) -> list[int]:
+        library = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.known = Known(library._encode_single_piece)
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        # Every id in decimal with its comma, filled up with zero bytes to one width.
+        named = np.array([f"{i}," for i in range(len(tokens))], "S")
+        self.decimals = named.view(np.uint8).reshape(len(tokens), -1)
+
+    def encode_pieces(self, pieces: list[str]) -> np.ndarray:
         """Ids of pre-tokens, each merged on its own."""
-        known, ids = self.known, []
-        if len(known) > REMEMBERED:
-            known.clear()
-        for piece in pieces:
-            found = known.get(piece)
-            if found is None:
-                found = known[piece] = self.library._encode_single_piece(piece) if piece else []
-            ids += found
-        return ids
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), np.int32)
+
+    def decimal(self, ids: np.ndarray) -> bytes:
+        """The ids in decimal, joined by commas."""
+        wide = self.decimals[ids].ravel()
+        return wide[wide != 0][:-1].tobytes()
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        if not len(ids):
+            return b""
+        return self.bytes[np.repeat(self.starts[ids] - ends + sizes, sizes) + np.arange(ends[-1])].tobytes()
+
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+def kept_coder(ranks_path: str, pattern: str) -> Coder:
+    return worker_kept(("byte coder", ranks_path, pattern), lambda: Coder(ranks_path, pattern))
 
 
 def piece_ends(pieces, text: str, start: int = 0) -> list[int]:
@@ -127,7 +155,7 @@ ENCODED = "n_tokens long, ids array<int>"
 
 def _encode_task(ranks_path: str, pattern: str, finish: str):
     def run(batches):
-        coder = Coder(ranks_path, pattern)
+        coder = kept_coder(ranks_path, pattern)
         for batch in batches:
             keys = one_of("key", batch)
             rows = (
@@ -139,11 +167,11 @@ def _encode_task(ranks_path: str, pattern: str, finish: str):
     return run
 
 
-def _finished(coder: Coder, ids: list[int], finish: str) -> tuple:
+def _finished(coder: Coder, ids: np.ndarray, finish: str) -> tuple:
     if finish == "ids":
         return (len(ids), ids)
-    named = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
-    return (len(ids), named, hashlib.sha256(coder.decode(ids)).hexdigest())
+    digests = (hashlib.sha256(part).hexdigest() for part in (coder.decimal(ids), coder.decode(ids)))
+    return (len(ids), *digests)
 
 
 def _arrow(finish: str) -> pa.Schema:
@@ -198,9 +226,8 @@ def _pretokenise_task(pattern: str, chunk: int):
 
 def _stitch_group(ranks_path: str, pattern: str, finish: str):
     def run(batches):
-        coder = None
+        coder = kept_coder(ranks_path, pattern)
         for chunks in batches:
-            coder = coder or Coder(ranks_path, pattern)
             found = sorted(chunks.to_pylist(), key=lambda c: c["start"])
             text = "".join(c["part"] for c in found)
             ends = stitch(
