@@ -172,8 +172,12 @@ def apply_rules(
         F.array(*[F.when(~holds, F.lit(name)) for name, holds in compile_rules(rules).items()]),
         lambda x: x.isNotNull(),
     )
+    # The optimiser moves a caller's filter below projections and writes out each step's
+    # expression wherever it is used, which doubles with every step. It leaves a filter above
+    # a column that is made row by row.
+    by_row = F.monotonically_increasing_id() >= 0
     judged = found.withColumns({"base_failed": base, "failed": broken}).withColumn(
-        "kept", ~F.col("base_failed") & (F.size("failed") == 0)
+        "kept", ~F.col("base_failed") & (F.size("failed") == 0) & by_row
     )
     return judged.select(
         "_row.*", F.struct(*MEASURES, "base_failed", "failed", "kept").alias("quality")
@@ -181,13 +185,6 @@ def apply_rules(
 
 
 def passing(docs: DataFrame, rules=RULES, text: str = "text", **base) -> DataFrame:
-    """The rows of ``docs`` that are kept, as they are.
-
-    The optimiser would move the filter below the projections and write each step's
-    expression out wherever it is used, which doubles with every step. It leaves a filter
-    where it stands that also asks for a column made row by row.
-    """
-    judged = apply_rules(docs, rules, text, **base).withColumn("_at", F.monotonically_increasing_id())
-    return judged.filter(F.col("quality.kept") & (F.col("_at") >= 0)).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    """The rows of ``docs`` that are kept, as they are."""
+    judged = apply_rules(docs, rules, text, **base)
+    return judged.filter("quality.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
