@@ -110,6 +110,13 @@ def test_passing_keeps_what_the_rules_keep(docs):
     same_rows([r["doc_id"] for r in kept.collect()], [r["doc_id"] for r in judged.collect()])
 
 
+def test_rules_plan_stays_small_under_a_filter(docs):
+    """Window hashes are made once, whatever the caller asks of the result."""
+    judged = quality_rules.apply_rules(docs).filter("quality.kept AND quality.n_repeat_words < 9")
+    optimised = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert optimised.count("xxhash64") <= 8
+
+
 # Byte-level BPE
 
 
@@ -132,6 +139,18 @@ def test_bpe_equals_the_library(docs, none, chunk, overlap):
     assert byte_bpe.encode(none, path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_of_runs_over_several_chunks(spark):
+    """Runs without a boundary, longer than the default chunk and its overlap."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    library = tiktoken.Encoding(
+        "t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={}
+    )
+    texts = ["word " * 20_000 + "7" * 70_000 + " end", " " * 40_000 + "x", "ab c " * 6_550 + "é" * 36_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = byte_bpe.encode(frame, path, public_tokenizers.PATTERN).collect()
+    assert {r["doc_id"]: list(r["ids"]) for r in rows} == {i: library.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
 def test_bpe_round_trip(docs):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = byte_bpe.encode(docs, path, public_tokenizers.PATTERN)

@@ -58,3 +58,21 @@ def test_empty_documents(spark, tiny):
     for name, stage in pipeline.STAGES:
         docs = materialize(stage(spark, docs, tiny), name)
     assert docs.count() == 0
+
+
+def test_awkward_documents(spark, tiny):
+    """Nulls, empty texts, copies, repeated ids and a clashing column pass through every stage."""
+    clean = spark.read.parquet(f"{tiny}/labels.parquet").filter("quality = 1").select("doc_id")
+    some = spark.read.parquet(f"{tiny}/documents.parquet").join(clean, "doc_id", "left_semi").orderBy("doc_id").limit(30)
+    text = some.first()["text"]
+    odd = [(None, text + " And one more ending.", None, None, None), (901, None, "en", "s", 0), (902, "", "en", "s", 0),
+           (903, " \n\t", "en", "s", 3), (904, text, "en", "s", 1), (904, text, "en", "s", 1), (905, "Short one.", None, "s", 5)]
+    docs = some.unionByName(spark.createDataFrame(odd, some.schema)).withColumn("quality", F.lit("clash"))
+    left = {}
+    for name, stage in pipeline.STAGES:
+        docs = materialize(stage(spark, docs, tiny), name)
+        left[name] = docs
+    assert not left["quality_rules"].filter("doc_id IN (901, 902, 903)").count()
+    assert left["jaccard_join"].filter(F.col("text") == text).count() == 1
+    assert not left["unit_dedup"].filter("trim(text) = ''").count()
+    assert docs.select("doc_id").distinct().count() == left["unit_dedup"].select("doc_id").distinct().count()
