@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlight.llm import boosted_trees, jaccard_join, packing, quality_rules, unit_dedup
-from wardlight.llm.common import materialize, table
+from wardlight.llm.common import BLANKS, materialize, table
 from wardlight.llm.queries import quality_trees
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -35,8 +35,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_units(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sentences, lines and passages that an earlier document has are cut out; the count of characters follows."""
+    """Sentences, lines and passages that an earlier document has are cut out; the count of characters
+    follows. Documents of which nothing is left go."""
     left = unit_dedup.dedup_units(docs, ranks=("doc_id",), unit="passage", keep=("lang", "source"))
+    left = left.filter(F.btrim("text", F.lit(BLANKS)) != "")
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
