@@ -7,13 +7,16 @@ joins and windows an engine without the library can run.
 from __future__ import annotations
 
 from registry.queries import (
+    CODE_RANGES,
     COHORT_STARTS,
     COHORT_WEIGHTS,
     INTERCEPT,
     KNOWN_FACTS,
     LENGTH_RULES,
     ONE_HOT,
+    SCORE_DAYS,
     WEIGHTS,
+    WIDE_COLUMNS,
 )
 from wardlight import schema as S
 from wardlight.functions.clinical import RISK_TIER_STARTS
@@ -643,3 +646,52 @@ ORACLES: dict[str, str] = {
         "features", f"SELECT {SIDE} AS side, count(*) AS rows FROM features GROUP BY 1"
     ),
 }
+
+LONG_CODES = (
+    "long AS (SELECT encounter_id, 'primary' AS position, diag_1 AS code FROM encoded"
+    " UNION ALL SELECT encounter_id, 'secondary', diag_2 FROM encoded"
+    " UNION ALL SELECT encounter_id, 'additional', diag_3 FROM encoded)"
+)
+
+
+def _code_text(c: str) -> str:
+    """A code without its dot, numbers before it with three digits, as text that sorts."""
+    head, tail = f"split_part(upper(trim({c})), '.', 1)", f"regexp_extract(upper(trim({c})), '\\.(.*)$', 1)"
+    text = f"(CASE WHEN regexp_full_match({head}, '\\d{{1,2}}') THEN lpad({head}, 3, '0') ELSE {head} END || replace({tail}, '.', ''))"
+    return f"CASE WHEN regexp_full_match({text}, '[0-9A-Z]{{1,7}}') THEN {text} END"
+
+
+WIDE_TEXT = {"o_custkey": "CAST(o_custkey AS VARCHAR)", "o_orderdate": "strftime(o_orderdate, '%Y-%m-%d')",
+             "o_totalprice": "printf('%.2f', o_totalprice)"}
+ORACLES |= {
+    "batch_score_job": _from(
+        "features",
+        f"SELECT {SCORE_LIST}, CAST(1 AS BIGINT) AS model_version, score_date FROM scored,"
+        f" (VALUES {', '.join(f"('{day}')" for day in SCORE_DAYS)}) days(score_date)",
+        SCORED,
+    ),
+    "tree_contributions": _from(
+        "features",
+        f"SELECT model, count(*) AS rows, CAST(0 AS BIGINT) AS wrong_rows FROM features,"
+        f" (VALUES ('decision_tree'), ('gbt')) m(model) WHERE {SIDE} = 'test' GROUP BY 1",
+    ),
+    "category_index": ORACLES["string_index"],
+    "category_index_wide": "WITH features AS (SELECT o_orderkey, "
+    + ", ".join(f"{text} AS {c}" for c, text in WIDE_TEXT.items())
+    + " FROM orders), "
+    + ", ".join(_index_ctes(WIDE_COLUMNS))
+    + " SELECT o_orderkey, "
+    + ", ".join(f"{_index(c)} AS {c}_indexed" for c in WIDE_COLUMNS)
+    + f" FROM features {_index_joins(WIDE_COLUMNS)}",
+    "interval_join": _from(
+        "encoded",
+        "SELECT l.encounter_id, l.position, l.code, r.diagnosis_group FROM placed l LEFT JOIN"
+        " (SELECT DISTINCT p.code, g.diagnosis_group FROM placed p JOIN bounds g ON rpad(p.text, 7, '0') BETWEEN g.low AND g.high) r"
+        " ON l.code = r.code",
+        LONG_CODES,
+        f"placed AS (SELECT *, {_code_text('code')} AS text FROM long)",
+        f"ranges(low, high, diagnosis_group) AS (VALUES {', '.join(map(repr, CODE_RANGES))})",
+        f"bounds AS (SELECT rpad({_code_text('low')}, 7, '0') AS low, rpad({_code_text('high')}, 7, 'Z') AS high,"
+        " diagnosis_group FROM ranges)",
+    ),
+}

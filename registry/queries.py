@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlight import schema as S
-from wardlight.learning import evaluate, features, importance, models
+from wardlight.learning import artifacts, categories, evaluate, features, importance, models
+from wardlight.learning import tree_contributions as tree_shapley
 from wardlight.operators import (
     checks,
     cleaning,
@@ -761,3 +762,98 @@ def champion_artifact(spark, d):
     return evaluate.store_champion(
         trained, report, folder, "f1", models.all_model_settings(), train.schema.simpleString()
     )
+
+
+# --- artifacts and jobs ------------------------------------------------------------
+
+SCORE_DAYS = ("2024-05-01", "2024-05-02")
+
+
+def fixed_weight_pipeline():
+    """The fixed weights as a stored pipeline: what any classifier's artifact looks like."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+
+    margin = " + ".join(f"coalesce(CAST({c} AS DOUBLE), 0D) * {w}D" for c, w in WEIGHTS.items())
+    chance = f"1D / (1D + exp(-({margin} + ({INTERCEPT}D))))"
+    return PipelineModel(
+        stages=[
+            SQLTransformer(statement=f"SELECT *, 1D - {chance} AS _other, {chance} AS _chance FROM __THIS__"),
+            VectorAssembler(inputCols=["_other", "_chance"], outputCol="probability"),
+        ]
+    )
+
+
+@query
+def batch_score_job(spark, d):
+    """Raw CSV scored by a stored champion, on two days, the first of them twice."""
+    source, folder, scored = (scratch_path(spark, x) for x in ("csv", "artifacts", "scores"))
+    files.write_csv(S.raw_header_columns(read_encounters(spark, d)), source)
+    signature = artifacts.signature_of(_features(spark, d), list(WEIGHTS))
+    version = artifacts.publish(spark, folder, fixed_weight_pipeline(), signature)
+    artifacts.promote(spark, folder, version, None)
+    for day in (*SCORE_DAYS, SCORE_DAYS[0]):
+        jobs.run_scoring(spark, source, folder, scored, day)
+    stored = spark.read.parquet(scored)
+    return _rounded(
+        stored.select(*SCORE_COLUMNS, "model_version", F.col("score_date").cast("string").alias("score_date")),
+        ["risk_score"],
+    )
+
+
+@query
+def tree_contributions(spark, d):
+    """Contributions of two tree models to every test row: how many rows, and on how many the
+    base and contributions do not make up the model's own output."""
+    train, test, fitted = jobs.prepare_training(_clean(spark, d))
+    slots, found = features.vector_slots(fitted), []
+    for name, output, changed in (
+        ("decision_tree", "probability", {}), ("gbt", "rawPrediction", {"maxIter": 5})
+    ):
+        model, _ = models.train_model(name, train, **changed)
+        parts, base = tree_shapley.tree_contributions(test, model, slots)
+        own = model.transform(test).select("encounter_id", vector_to_array(output)[1].alias("own"))
+        total = F.aggregate("contributions", F.lit(base), lambda a, p: a + p["contribution"])
+        checked = parts.select("encounter_id", "score", total.alias("total")).join(own, "encounter_id")
+        wrong = (F.abs(F.col("total") - F.col("own")) > 1e-9) | (F.abs(F.col("score") - F.col("own")) > 1e-9)
+        found.append(checked.agg(F.count(F.lit(1)).alias("rows"), F.count_if(wrong).alias("wrong_rows")).select(F.lit(name).alias("model"), "*"))
+    return found[0].unionByName(found[1])
+
+
+@query
+def category_index(spark, d):
+    """The indexes of a string indexer from tables of categories."""
+    built = _features(spark, d)
+    table = categories.fit_categories(built, S.CATEGORICAL_FEATURES)
+    indexed = categories.index_categories(built, table)
+    return indexed.select("encounter_id", *[f"{c}_indexed" for c in S.CATEGORICAL_FEATURES])
+
+
+WIDE_COLUMNS = ["o_custkey", "o_orderdate", "o_totalprice"]
+
+
+@query
+def category_index_wide(spark, d):
+    """Columns with nearly as many values as rows."""
+    orders = _table(spark, d, "orders").select("o_orderkey", *WIDE_COLUMNS)
+    named = orders.withColumns(
+        {"o_totalprice": F.format_string("%.2f", "o_totalprice"), "o_orderdate": F.date_format("o_orderdate", "yyyy-MM-dd")}
+    )
+    indexed = categories.index_categories(named, categories.fit_categories(named, WIDE_COLUMNS))
+    return indexed.select("o_orderkey", *[f"{c}_indexed" for c in WIDE_COLUMNS])
+
+
+# Ranges of both code systems that overlap, some of them within a three-character code.
+CODE_RANGES = [
+    ("001", "139", "Infections"), ("240", "279", "Endocrine"), ("250", "250", "Diabetes"),
+    ("250.1", "250.3", "Diabetes with coma"), ("390", "459", "Circulatory"), ("401", "405.9", "Hypertension"),
+    ("428", "428.9", "Heart failure"), ("428.2", "428.4", "Heart failure, by kind"), ("V10", "V19", "History"),
+    ("E800", "E999", "External causes"), ("E10", "E14", "Diabetes"), ("I10", "I16.9", "Hypertension"),
+    ("7", "9.5", "Intestinal"),
+]
+
+
+@query
+def interval_join(spark, d):
+    ranges = spark.createDataFrame(CODE_RANGES, "low string, high string, diagnosis_group string")
+    return lookups.interval_join(lookups.long_diagnoses(_clean(spark, d)), ranges)

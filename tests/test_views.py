@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,7 +143,32 @@ def test_range_join_keeps_overlapping_ranges(spark):
     assert sorted(r["diagnosis_group"] for r in rows.collect()) == ["heart", "heart failure"]
 
 
-def test_large_lookup_is_not_broadcast(spark, plan):
-    big = spark.range(2000).withColumn("x", F.lit(1))
-    assert "broadcast" in lookups.broadcast_if_small(big, 2000)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in lookups.broadcast_if_small(big, 1999)._jdf.queryExecution().analyzed().toString()
+def code_key(code):
+    text = code.strip().upper()
+    head, _, tail = text.partition(".")
+    text = (head.zfill(3) if head.isdigit() and len(head) < 3 else head) + tail.replace(".", "")
+    return text if re.fullmatch("[0-9A-Z]{1,7}", text) else None
+
+
+def test_interval_join_against_brute_force(spark, plan):
+    """Both code systems, decimals, overlapping and inverted ranges, odd and absent codes."""
+    ranges = [("250", "250"), ("250.1", "250.39"), ("001", "999"), ("V10", "V19.9"), ("E10", "E14"), ("A", "ZZZZZZZ"),
+              ("7", "9.5"), ("428", "401"), ("C4A", "C4A"), ("3A.1", "3B")]
+    codes = ["250", "250.13", "250.4", "250.39", "250.391", "2501", "V15", "v19.95", "E11.65", "E14", "E149", "7", "8.1",
+             "9.6", "C4A.1", "C4B", "M1A.0XX", "?", "", " 428 ", None, "12345678", "3A15", "0"]
+    rows = spark.createDataFrame([(i, c, 7) for i, c in enumerate(codes * 3)], "id long, code string, low int")
+    table = spark.createDataFrame([(a, b, f"{a}-{b}") for a, b in ranges], "low string, high string, diagnosis_group string")
+    found = lookups.interval_join(rows, table)
+    expected = []
+    for i, code in enumerate(codes * 3):
+        key = code_key(code) if code is not None else None
+        inside = [
+            f"{a}-{b}" for a, b in ranges
+            if key and code_key(a).ljust(7, "0") <= key.ljust(7, "0") <= code_key(b).ljust(7, "Z")
+        ]
+        expected += [(i, code, 7, g) for g in sorted(inside) or [None]]
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, expected))
+    assert lookups.range_blocks(table).groupBy("diagnosis_group").count().agg(F.max("count")).first()[0] <= 7 * 70
+    assert "NestedLoop" not in plan(found) and lookups.interval_join(rows, table.limit(0)).count() == len(expected) - sum(
+        len([1 for e in expected if e[0] == i]) - 1 for i in range(len(codes) * 3)
+    )

@@ -13,7 +13,7 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlight import schema as S
@@ -21,7 +21,6 @@ from wardlight.operators.checks import validate_feature_columns
 
 FEATURES = "features"
 ASSEMBLED = "assembled_features"
-MAX_CATEGORIES = 10_000
 
 
 def string_indexer(columns: Sequence[str]) -> StringIndexer:
@@ -91,26 +90,18 @@ def build_feature_pipeline(
     )
 
 
-def check_category_counts(
-    df: DataFrame, columns: Sequence[str] = tuple(S.CATEGORICAL_FEATURES), most: int = MAX_CATEGORIES
-) -> None:
-    """Refuse columns with too many values for an index held in every task."""
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = {c: row[c] for c in columns if row[c] > most}
-    if wide:
-        raise ValueError(f"more than {most} categories in {wide}")
-
-
 def fit_features(
     df: DataFrame,
     pipeline: Pipeline | None = None,
     require_target: bool = True,
-    max_categories: int = MAX_CATEGORIES,
 ) -> PipelineModel:
     """Fit on the rows given. Give the training side only, or test rows shape the
-    indexes and scales they are later judged with."""
+    indexes and scales they are later judged with.
+
+    The pipeline's indexer holds its labels in the driver and in every task. Columns of very
+    many values are indexed by ``categories.index_categories`` instead, whose labels stay a table.
+    """
     validate_feature_columns(df, require_target)
-    check_category_counts(df, most=max_categories)
     return (pipeline or build_feature_pipeline()).fit(df)
 
 
@@ -164,19 +155,24 @@ def split_data(
     missing = [c for c in (key, S.TARGET_COLUMN) if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
-    # Ratios of whole ten-thousandths keep their steps; finer ones need as many as the hash has.
-    steps = SPLIT_STEPS if abs(train * SPLIT_STEPS - round(train * SPLIT_STEPS)) < 1e-9 else 2**32
-    step = split_step(key, seed, steps, [c for c in df.columns if c != key])
-    border = round(train * steps)
-    return df.filter(step < border), df.filter(step >= border)
+    share = split_share(df, key, seed)
+    return df.filter(share < train), df.filter(share >= train)
 
 
-def split_step(key: str, seed: int, steps: int = SPLIT_STEPS, others: Sequence[str] = ()):
-    """Evenly spread number below ``steps`` from the first 32 bits of an MD5 hash.
+def split_share(df: DataFrame, key: str = "encounter_id", seed: int = 42) -> Column:
+    """A number from 0 up to 1 for every row, from the first 32 bits of an MD5 hash of its key.
 
-    A row without a key is placed by its other columns, so every row has a number.
+    The bits give a whole step of ten thousand and, with what is left of them, a place within
+    it, so any ratio has its border. A row without a key is placed by ``patient_nbr``, or
+    without that column by its target: few columns, so that a split reads few.
     """
-    text = F.col(key).cast("string")
-    rest = F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in others])) if others else F.lit("")
-    digest = F.md5(F.concat(F.coalesce(text, rest), F.lit(f":{seed}")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % steps
+    other = "patient_nbr" if "patient_nbr" in df.columns else S.TARGET_COLUMN
+    text = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("no key "), F.xxhash64(other).cast("string")))
+    bits = F.conv(F.substring(F.md5(F.concat(text, F.lit(f":{seed}"))), 1, 8), 16, 10).cast("long")
+    within = F.floor(bits / SPLIT_STEPS) / F.lit(float(2**32 // SPLIT_STEPS + 1))
+    return (bits % SPLIT_STEPS + within) / SPLIT_STEPS
+
+
+def fold_of(df: DataFrame, folds: int, key: str = "encounter_id", seed: int = 42) -> Column:
+    """The fold of every row, from 0, by the same hash."""
+    return F.floor(split_share(df, key, seed) * folds).cast("int")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.storagelevel import StorageLevel
 
 from wardlight import schema as S
-from wardlight.learning.features import FEATURES, split_step
+from wardlight.learning.features import FEATURES, fold_of
 from wardlight.operators.metrics import MODEL_ORDER
 
 # The parameters each classifier is compared with.
@@ -147,7 +147,7 @@ def cross_validate(
         foldCol="fold",
         parallelism=parallelism,
     )
-    numbered = train.withColumn("fold", split_step("encounter_id", seed, folds, [S.TARGET_COLUMN]).cast("int"))
+    numbered = train.withColumn("fold", fold_of(train, folds, seed=seed))
     fitted = search.fit(numbered)
     rows = [
         (", ".join(f"{p.name}={v}" for p, v in setting.items()), float(mean), float(spread))

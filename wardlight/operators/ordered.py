@@ -8,6 +8,8 @@ split only decides where work happens: results are exact.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -93,3 +95,24 @@ def with_previous(
     joined = inside.join(carried, [group, PIECE], "left")
     previous = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_lag"))
     return joined.select(*df.columns, previous.alias(to))
+
+
+def number_rows(df: DataFrame, order: Sequence[str | Column], to: str, width: int | None = None) -> DataFrame:
+    """Consecutive numbers from 0 over the whole frame in the given order, as a stored table.
+
+    A range exchange puts neighbours together, each partition numbers its own rows, and a row
+    for each partition carries the numbers on. Rows that are equal in the order are numbered
+    one way or the other.
+    """
+    width = width or shuffle_width(df.sparkSession)
+    inside = materialize(
+        df.repartitionByRange(width, *order).sortWithinPartitions(*order).withColumn(
+            "_place", F.monotonically_increasing_id()
+        ),
+        "numbered",
+    ).withColumn(PIECE, F.shiftright("_place", 33))
+    pieces = inside.groupBy(PIECE).agg(F.count(F.lit(1)).alias("_rows"))
+    # One row for each partition of the exchange above.
+    offsets = F.broadcast(pieces.select(PIECE, running_before(F.col("_rows")).alias("_offset")))
+    number = F.col("_offset") + F.col("_place").bitwiseAND((1 << 33) - 1)
+    return inside.join(offsets, PIECE).select(*df.columns, number.alias(to))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from wardlight.functions import clinical as fn
 from wardlight.operators.checks import require_unique
-from wardlight.operators.lookups import broadcast_if_small
 from wardlight.operators.ordered import rank_values, with_previous
 from wardlight.operators.spread import join_spread
 
@@ -131,9 +130,9 @@ def cohort_weighted(contributed: DataFrame, weights: DataFrame) -> DataFrame:
     """Contributions times their cohort's weight for the feature (1 where none is set).
 
     Contribution rows carry their encounter's ``cohort``; ``weights`` has ``cohort,
-    feature, weight``.
+    feature, weight``, one row for each pair.
     """
-    return contributed.join(broadcast_if_small(weights), ["cohort", "feature"], "left").select(
+    return join_spread(contributed, weights, ["cohort", "feature"]).select(
         "encounter_id",
         "cohort",
         "feature",
