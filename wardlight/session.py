@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Paths that this thread has asked for, so that a caller can drop what it no longer reads.
+_asked = threading.local()
+
+
 def build_session(name: str, master: str | None = None, **settings: str) -> SparkSession:
     """A session with adaptive execution on; the cluster's own settings win elsewhere."""
     builder = (
@@ -52,7 +58,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not root:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="wardlight-"))
         root = context.getCheckpointDir()
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    scratch_paths().append(path)
+    return path
+
+
+def scratch_paths() -> list[str]:
+    """The paths given to this thread so far."""
+    if not hasattr(_asked, "paths"):
+        _asked.paths = []
+    return _asked.paths
+
+
+def drop_scratch(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Remove tables whose results have been stored elsewhere; absent ones do no harm."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
