@@ -2,11 +2,16 @@
 
 Each stage is a function of (spark, docs, sf_dir). All but the last return the columns of
 ``documents``, and each works on what the one before has kept, written as Parquet and
-read again.
+read again. So what a stage has stored on its way is done with when the next one begins, and
+that one drops it: the disk holds the steps of one stage at a time.
 """
 
 from __future__ import annotations
 
+import functools
+import threading
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +19,35 @@ from pyspark.sql import functions as F
 from wardlight.llm import boosted_trees, jaccard_join, packing, quality_rules, unit_dedup
 from wardlight.llm.common import BLANKS, materialize, table
 from wardlight.llm.queries import quality_trees
+from wardlight.session import drop_scratch, scratch_paths
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_steps = threading.local()
+
+
+def begins(stage: Stage) -> Stage:
+    """The first stage: its steps are noted for the next one."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        before = len(scratch_paths())
+        out = stage(spark, docs, sf_dir)
+        _steps.paths = scratch_paths()[before:]
+        return out
+
+    return run_stage
+
+
+def follows(stage: Stage) -> Stage:
+    """A later stage. Its ``docs`` are stored, so the steps of the stage before are dropped."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_scratch(spark, getattr(_steps, "paths", []))
+        return begins(stage)(spark, docs, sf_dir)
+
+    return run_stage
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,11 +80,11 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality_rules", rules),
-    ("quality_classifier", classifier),
-    ("jaccard_join", near_duplicates),
-    ("unit_dedup", repeated_units),
-    ("packing", pack),
+    ("quality_rules", begins(rules)),
+    ("quality_classifier", follows(classifier)),
+    ("jaccard_join", follows(near_duplicates)),
+    ("unit_dedup", follows(repeated_units)),
+    ("packing", follows(pack)),
 ]
 
 #: A trained classifier cannot be written in SQL; tests hold every stage against brute force.
