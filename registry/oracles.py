@@ -695,3 +695,22 @@ ORACLES |= {
         " diagnosis_group FROM ranges)",
     ),
 }
+
+POINTS = (
+    "counts AS (SELECT model, CAST(score AS DOUBLE) AS threshold, count(*) FILTER (label = 1) AS pos,"
+    " count(*) FILTER (label = 0) AS neg FROM pred GROUP BY 1, 2),"
+    " points AS (SELECT model, threshold, CAST(sum(pos) OVER above AS BIGINT) AS tp, CAST(sum(neg) OVER above AS BIGINT) AS fp,"
+    " CAST(sum(pos) OVER (PARTITION BY model) - sum(pos) OVER above AS BIGINT) AS fn,"
+    " CAST(sum(neg) OVER (PARTITION BY model) - sum(neg) OVER above AS BIGINT) AS tn FROM counts"
+    " WINDOW above AS (PARTITION BY model ORDER BY threshold DESC))"
+)
+_SHARE = "CASE WHEN {b} > 0 THEN CAST({a} AS DOUBLE) / ({b}) ELSE CAST(0 AS DOUBLE) END"
+ORACLES |= {
+    "roc_points": f"WITH {PREDICTIONS}, {POINTS} SELECT *,"
+    f" round({_SHARE.format(a='tp', b='tp + fn')}, 6) AS true_positive_rate,"
+    f" round({_SHARE.format(a='fp', b='fp + tn')}, 6) AS false_positive_rate,"
+    f" round({_SHARE.format(a='tp', b='tp + fp')}, 6) AS precision FROM points",
+    "threshold_choice": f"WITH {PREDICTIONS}, {POINTS}, priced AS (SELECT *, CAST(fp + 5 * fn AS DOUBLE) AS cost,"
+    " row_number() OVER (PARTITION BY model ORDER BY fp + 5 * fn, threshold DESC) AS place FROM points)"
+    " SELECT model, threshold, cost, tp, fp, fn, tn FROM priced WHERE place = 1",
+}

@@ -857,3 +857,16 @@ CODE_RANGES = [
 def interval_join(spark, d):
     ranges = spark.createDataFrame(CODE_RANGES, "low string, high string, diagnosis_group string")
     return lookups.interval_join(lookups.long_diagnoses(_clean(spark, d)), ranges)
+
+
+@query
+def roc_points(spark, d):
+    return _rounded(
+        metrics.roc_points(_length_predictions(spark, d)), ["true_positive_rate", "false_positive_rate", "precision"]
+    )
+
+
+@query
+def threshold_choice(spark, d):
+    """A missed case costs five false alarms."""
+    return metrics.choose_threshold(metrics.roc_points(_length_predictions(spark, d)), 1.0, 5.0)

@@ -107,3 +107,22 @@ def test_champion(spark):
     assert metrics.champion(report, "f1", at_least=0.7).first() is None
     with pytest.raises(ValueError):
         metrics.champion(report, "speed")
+
+
+def test_area_under_the_points_is_the_auc(spark):
+    """Ties, one class only and a hot score; the trapezoids of the points give the exact area."""
+    rows = [("a", i % 3 == 0, float(i * 7 % 20)) for i in range(200)] + [("a", i % 2, 5.0) for i in range(100)]
+    rows += [("b", 1, 0.5), ("b", 1, 0.7), ("a", None, 1.0), ("a", 1, None)]
+    frame = spark.createDataFrame([(m, None if y is None else int(y), s) for m, y, s in rows], "model string, label int, score double")
+    points = metrics.roc_points(frame, pieces=4).collect()
+    area, at = 0.0, (0.0, 0.0)
+    for r in sorted((r for r in points if r["model"] == "a"), key=lambda r: -r["threshold"]):
+        here = (r["false_positive_rate"], r["true_positive_rate"])
+        area, at = area + (here[0] - at[0]) * (here[1] + at[1]) / 2, here
+    assert at == (1.0, 1.0)
+    exact = {r["model"]: r["auc_roc"] for r in metrics.auc(frame, pieces=4).collect()}
+    assert area == pytest.approx(exact["a"], abs=1e-12)
+    best = metrics.choose_threshold(metrics.roc_points(frame)).collect()
+    least = min(r["fp"] + r["fn"] for r in points if r["model"] == "a")
+    assert {r["model"]: r["cost"] for r in best} == {"a": least, "b": 0.0}
+    assert metrics.roc_points(frame.limit(0)).count() == 0

@@ -104,6 +104,55 @@ def auc(
     return total.select("model", value.alias("auc_roc"))
 
 
+def roc_points(
+    predictions: DataFrame, label: str = "label", score: str = "score", pieces: int | None = None
+) -> DataFrame:
+    """Every threshold of every model: rows at or above it by class, and the rates they give.
+
+    One row per distinct score. Counts above a score are what is left of the model's totals
+    after running sums of those below, which are split over pieces of the score range as for
+    the area; a piece's row carries them on.
+    """
+    scored = predictions.select(
+        "model", F.col(label).cast("int").alias("_y"), F.col(score).cast("double").alias("threshold")
+    ).filter("_y IS NOT NULL AND threshold IS NOT NULL")
+    counts = materialize(
+        scored.groupBy("model", "threshold").agg(
+            F.count_if(F.col("_y") == 1).alias("_pos"), F.count_if(F.col("_y") == 0).alias("_neg")
+        ),
+        "score-counts",
+    )
+    before = W.partitionBy("model", PIECE).orderBy("threshold").rowsBetween(W.unboundedPreceding, -1)
+    inside = with_piece(counts, "threshold", split_points(counts, "threshold", pieces)).withColumns(
+        {f"{c}_below": F.coalesce(F.sum(c).over(before), F.lit(0)) for c in ("_pos", "_neg")}
+    )
+    whole = W.partitionBy("model")
+    per_piece = inside.groupBy("model", PIECE).agg(F.sum("_pos").alias("_pos_in"), F.sum("_neg").alias("_neg_in"))
+    # A row for each model and piece.
+    carried = per_piece.select(
+        "model", PIECE,
+        *[running_before(F.col(f"{c}_in"), "model").alias(f"{c}_before") for c in ("_pos", "_neg")],
+        *[F.sum(f"{c}_in").over(whole).alias(f"{c}_all") for c in ("_pos", "_neg")],
+    )
+    tp = F.col("_pos_all") - F.col("_pos_before") - F.col("_pos_below")
+    fp = F.col("_neg_all") - F.col("_neg_before") - F.col("_neg_below")
+    return inside.join(carried, ["model", PIECE]).select(
+        "model", "threshold", tp.alias("tp"), fp.alias("fp"),
+        (F.col("_pos_all") - tp).alias("fn"), (F.col("_neg_all") - fp).alias("tn"),
+        _ratio(tp, F.col("_pos_all")).alias("true_positive_rate"),
+        _ratio(fp, F.col("_neg_all")).alias("false_positive_rate"),
+        _ratio(tp, tp + fp).alias("precision"),
+    )
+
+
+def choose_threshold(points: DataFrame, false_positive: float = 1.0, false_negative: float = 1.0) -> DataFrame:
+    """The threshold of least cost per model, the highest of several."""
+    cost = F.col("fp") * F.lit(float(false_positive)) + F.col("fn") * F.lit(float(false_negative))
+    least = F.min(F.struct(cost.alias("cost"), (-F.col("threshold")).alias("_low"), "tp", "fp", "fn", "tn"))
+    found = points.groupBy("model").agg(least.alias("_best"))
+    return found.select("model", (-F.col("_best._low")).alias("threshold"), *[f"_best.{c}" for c in ("cost", "tp", "fp", "fn", "tn")])
+
+
 def check_metrics(metrics: DataFrame, expected_rows: int | None = None) -> DataFrame:
     """Which of the three consistency rules each model's figures keep."""
     rates = [c for c in [*RATES, "auc_roc"] if c in metrics.columns]
