@@ -147,6 +147,10 @@ def test_settings():
             call("svm")
 
 
+def test_models_carry_no_summary(trained):
+    assert not any(getattr(model, "hasSummary", False) for model in trained[1].values())
+
+
 def test_training_records(trained, embedded):
     folder, found, records = trained
     train, test = embedded

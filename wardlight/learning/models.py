@@ -18,7 +18,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
 from wardlight import schema as S
@@ -32,9 +32,33 @@ SETTINGS: dict[str, dict[str, Any]] = {
     "decision_tree": {"maxDepth": 6, "minInstancesPerNode": 3, "seed": 42},
     "gbt": {"maxIter": 30, "maxDepth": 5, "stepSize": 0.1, "seed": 42},
 }
+
+
+class _WithoutSummary:
+    """Fitted models without their training summary.
+
+    A model is part of the function that scores rows, and the summary that some kinds carry
+    holds the training frame; what is sent to tasks should be the model alone.
+    """
+
+    def _create_model(self, java_model):
+        model = super()._create_model(java_model)
+        if model.hasSummary:
+            java_model.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+        return model
+
+
+class PlainLogisticRegression(_WithoutSummary, LogisticRegression):
+    pass
+
+
+class PlainRandomForest(_WithoutSummary, RandomForestClassifier):
+    pass
+
+
 ESTIMATORS = {
-    "logistic_regression": (LogisticRegression, LogisticRegressionModel),
-    "random_forest": (RandomForestClassifier, RandomForestClassificationModel),
+    "logistic_regression": (PlainLogisticRegression, LogisticRegressionModel),
+    "random_forest": (PlainRandomForest, RandomForestClassificationModel),
     "decision_tree": (DecisionTreeClassifier, DecisionTreeClassificationModel),
     "gbt": (GBTClassifier, GBTClassificationModel),
 }
