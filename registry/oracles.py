@@ -297,6 +297,30 @@ def _what_if(name: str, replace: dict[str, str]) -> str:
     )
 
 
+# --- rules for rows and free bundles -------------------------------------------------
+
+ROW_RULES = {
+    "id_given": "encounter_id IS NOT NULL AND patient_nbr IS NOT NULL",
+    "gender_known": "gender IN ('Female', 'Male')",
+    "age_readable": "regexp_matches(age, '^\\[[0-9]+-[0-9]+\\)$')",
+    "not_terminal": "discharge_disposition_id NOT IN (11, 13, 14, 19, 20, 21)",
+    "stay_in_range": "time_in_hospital BETWEEN 1 AND 14",
+    "primary_diagnosis_given": "trim(diag_1) <> '?'",
+    "readmission_known": "readmitted IN ('NO', '>30', '<30')",
+    "number_outpatient_given": "number_outpatient >= 0",
+    "number_emergency_given": "number_emergency >= 0",
+    "number_inpatient_given": "number_inpatient >= 0",
+}
+BROKEN_ROWS = "broken AS (SELECT encounter_id, " + ", ".join(
+    f"NOT coalesce({holds}, FALSE) AS {name}" for name, holds in ROW_RULES.items()
+) + " FROM enc)"
+BROKEN_NAMES = "concat_ws(',', " + ", ".join(f"CASE WHEN {name} THEN '{name}' END" for name in ROW_RULES) + ")"
+LISTED_RANKS = {1: "diag_1", 2: "diag_2", 3: "diag_3", 4: "diag_2", 7: "diag_1"}
+LISTED = "listed AS (" + " UNION ALL ".join(
+    f"SELECT 'ENC' || encounter_id AS encounter_id, CAST({rank} AS INT) AS rank, {c} AS code FROM clean WHERE {c} IS NOT NULL"
+    for rank, c in LISTED_RANKS.items()
+) + ")"
+
 ORACLES: dict[str, str] = {
     "encounters": RAW_TABLE,
     "normalized_names": RAW_TABLE,
@@ -452,6 +476,26 @@ ORACLES: dict[str, str] = {
     "parquet_roundtrip": CLEAN_TABLE,
     "clean_table": CLEAN_TABLE,
     "landing_counts": "SELECT count(*) AS landed_rows, CAST(0 AS BIGINT) AS corrupt_rows FROM orders",
+    "landing_increment": _from(
+        "enc",
+        "SELECT CAST(1 AS INT) AS run, CAST(1 AS BIGINT) AS batch, count(*) FILTER (encounter_id % 2 = 0) AS landed_rows,"
+        " CAST(0 AS BIGINT) AS corrupt_rows, count(*) FILTER (encounter_id % 2 = 0) AS readable_rows FROM enc"
+        " UNION ALL SELECT 2, 2, count(*) FILTER (encounter_id % 2 = 1), 0, count(*) FROM enc"
+        " UNION ALL SELECT 3, NULL, 0, 0, count(*) FROM enc",
+    ),
+    "rule_rejects": _from(
+        "enc",
+        f"SELECT encounter_id, CASE WHEN {BROKEN_NAMES} = '' THEN 'valid' ELSE 'rejected' END AS side,"
+        f" {BROKEN_NAMES} AS broken_rules FROM broken",
+        BROKEN_ROWS,
+    ),
+    "rule_counts": _from(
+        "enc",
+        f"SELECT 'rows' AS rule, count(*) AS n_rows FROM broken UNION ALL"
+        f" SELECT 'rejected', count(*) FILTER ({BROKEN_NAMES} <> '') FROM broken UNION ALL "
+        + " UNION ALL ".join(f"SELECT 'rule {name}', count(*) FILTER ({name}) FROM broken" for name in ROW_RULES),
+        BROKEN_ROWS,
+    ),
     "report_csv": REPORT_STEPS + "SELECT * FROM report",
     "preprocessing_job": CLEAN_TABLE,
     "confusion": f"WITH {PREDICTIONS}, {CONFUSION} SELECT * FROM conf",
@@ -606,6 +650,31 @@ ORACLES: dict[str, str] = {
             for i in (1, 2, 3)
         ),
     ),
+    "bundle_codings": _from(
+        "clean",
+        "SELECT encounter_id, rank, 'http://hl7.org/fhir/sid/icd-9-cm' AS system, code FROM listed"
+        " UNION ALL SELECT encounter_id, rank, 'urn:codes:spelled', 'code ' || code FROM listed",
+        LISTED,
+    ),
+    "bundle_ranks": _from(
+        "clean",
+        "SELECT rank, count(*) AS n_encounters, count(DISTINCT code) AS n_codes FROM listed GROUP BY rank",
+        LISTED,
+    ),
+    "bundle_text_ids": _from(
+        "clean",
+        "SELECT 'ENC' || encounter_id AS encounter_id, 'PAT' || patient_nbr AS patient_nbr, time_in_hospital,"
+        " diag_1, diag_2, diag_3, row_number() OVER (ORDER BY encounter_id % 2, 'ENC' || encounter_id) AS encounter_number"
+        " FROM clean",
+    ),
+    "bundle_rejects": _from(
+        "clean",
+        "SELECT 'reject' AS what, CASE encounter_id % 10 WHEN 0 THEN 'null' WHEN 1 THEN 'not_json' WHEN 2 THEN"
+        " 'not_a_bundle' WHEN 3 THEN 'no_entries' WHEN 4 THEN 'no_resource' ELSE 'encounter_without_id' END AS name,"
+        " count(*) AS n_rows FROM clean WHERE encounter_id % 10 < 6 GROUP BY 2 UNION ALL"
+        " SELECT 'resource', 'Encounter', count(*) FROM clean WHERE encounter_id % 10 > 5 UNION ALL"
+        " SELECT 'resource', 'Condition', count(diag_1) + count(diag_2) + count(diag_3) FROM clean WHERE encounter_id % 10 > 5",
+    ),
     "event_properties": "WITH read AS (SELECT event_type,"
     " TRY_CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events)"
     " SELECT event_type, count(*) AS events, count(k) AS with_k, CAST(sum(k) AS BIGINT) AS sum_k,"

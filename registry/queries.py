@@ -19,12 +19,13 @@ from wardlight.operators import (
     encoding,
     lookups,
     metrics,
+    rejects,
     scoring,
     views,
 )
 from wardlight.plans import jobs
 from wardlight.session import materialize, scratch_path, tune
-from wardlight.sources import bundles, files, tables
+from wardlight.sources import bundles, files, free_bundles, landing, tables
 from wardlight.sources.encounters import read_encounters
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -253,6 +254,42 @@ def landing_counts(spark, d):
     return files.land_raw(spark, source, target_path)
 
 
+@query
+def landing_increment(spark, d):
+    """Two drops of files and a third run without any: what each run landed and what is readable."""
+    raw = S.raw_header_columns(read_encounters(spark, d))
+    source, folder = scratch_path(spark, "drops"), scratch_path(spark, "landed")
+    reports = []
+    for run, half in enumerate((0, 1, None), 1):
+        if half is not None:
+            files.write_csv(raw.filter(F.pmod("encounter_id", F.lit(2)) == half), f"{source}/drop-{half}")
+        report = landing.land_new(spark, source, folder).first()
+        readable = landing.read_landed(spark, folder).count()
+        reports.append((run, report["batch"], report["landed_rows"], report["corrupt_rows"], readable))
+    return spark.createDataFrame(
+        reports, "run int, batch long, landed_rows long, corrupt_rows long, readable_rows long"
+    )
+
+
+@query
+def rule_rejects(spark, d):
+    """Every raw encounter as the reject stream left it: where it went and the rules it broke."""
+    path = scratch_path(spark, "diverted")
+    valid, rejected, _ = rejects.divert(read_encounters(spark, d), rejects.intake_rules(), path)
+    broken = F.concat_ws(",", rejects.BROKEN).alias("broken_rules")
+    return valid.select("encounter_id", F.lit("valid").alias("side"), F.lit("").alias("broken_rules")).unionByName(
+        rejected.select("encounter_id", F.lit("rejected").alias("side"), broken)
+    )
+
+
+@query
+def rule_counts(spark, d):
+    """How many rows break each rule, as observed while they were written."""
+    path = scratch_path(spark, "diverted")
+    _, _, counts = rejects.divert(read_encounters(spark, d), rejects.intake_rules(), path)
+    return spark.createDataFrame(list(counts.items()), "rule string, n_rows long")
+
+
 @query
 def report_csv(spark, d):
     path = scratch_path(spark, "report")
@@ -560,6 +597,79 @@ def bundle_conditions(spark, d):
     return bundles.flatten_conditions(bundles.encounters_to_bundles(_clean(spark, d)))
 
 
+ALL_RANKS = bundles.RANKS | {4: "diag_4", 7: "diag_7"}
+OWN_SYSTEM = "urn:codes:spelled"
+
+
+def _text_bundles(spark, d):
+    """Bundles with text ids, five ranks and two codings a condition, the wanted one second."""
+    clean = _clean(spark, d).select(
+        F.concat(F.lit("ENC"), F.col("encounter_id").cast("string")).alias("encounter_id"),
+        F.concat(F.lit("PAT"), F.col("patient_nbr").cast("string")).alias("patient_nbr"),
+        "time_in_hospital", *bundles.RANKS.values(), F.col("diag_2").alias("diag_4"), F.col("diag_1").alias("diag_7"),
+    )
+    codings = {OWN_SYSTEM: lambda code: F.concat(F.lit("code "), code), bundles.ICD9: lambda code: code}
+    return materialize(bundles.encounters_to_bundles(clean, ALL_RANKS, codings), "text-bundles")
+
+
+@query
+def bundle_codings(spark, d):
+    """Every coding of every listed diagnosis, text ids and all ranks."""
+    return bundles.flatten_diagnoses(_text_bundles(spark, d), id_type="string").drop("condition_id")
+
+
+@query
+def bundle_ranks(spark, d):
+    """Diagnoses by rank: how many encounters list one, and how many codes they name."""
+    listed = bundles.flatten_diagnoses(_text_bundles(spark, d), id_type="string")
+    return listed.filter(F.col("system") == bundles.ICD9).groupBy("rank").agg(
+        F.count(F.lit(1)).alias("n_encounters"), F.count_distinct("code").alias("n_codes")
+    )
+
+
+@query
+def bundle_text_ids(spark, d):
+    """Encounters from bundles with text ids beside the numbers of their own table of keys; the
+    second half of the keys is numbered in a later run."""
+    flat = materialize(bundles.flatten_bundles(_text_bundles(spark, d), id_type="string"), "flat-bundles")
+    odd = F.col("encounter_id").rlike("[13579]$")
+    first = materialize(free_bundles.number_keys(flat.filter(~odd), "encounter_id"), "key-numbers")
+    both = materialize(free_bundles.number_keys(flat, "encounter_id", first), "key-numbers")
+    return free_bundles.with_numbers(flat, "encounter_id", both, "encounter_number")
+
+
+def _damaged(bundle):
+    """A fault for six of ten encounters, by their id."""
+    digit = F.pmod("encounter_id", F.lit(10))
+    faults = [
+        F.lit(None).cast("string"),
+        F.substring(bundle, F.lit(1), F.length(bundle) - 3),
+        F.replace(bundle, F.lit('"resourceType":"Bundle"'), F.lit('"resourceType":"List"')),
+        F.lit('{"resourceType":"Bundle","entry":"none"}'),
+        F.replace(bundle, F.lit('"resourceType":"Encounter",'), F.lit("")),
+        F.regexp_replace(bundle, '("resourceType":"Encounter",)"id":"[^"]*",', "$1"),
+    ]
+    out = bundle
+    for k, fault in enumerate(faults):
+        out = F.when(digit == k, fault).otherwise(out)
+    return out
+
+
+@query
+def bundle_rejects(spark, d):
+    """Bundles of which six in ten are damaged: why each was put aside, and what kinds of
+    resources the usable ones hold."""
+    made = bundles.encounters_to_bundles(_clean(spark, d))
+    number = F.get_json_object("bundle", "$.entry[0].resource.id").cast("long").alias("encounter_id")
+    damaged = made.select(number, "bundle").select("encounter_id", _damaged(F.col("bundle")).alias("bundle"))
+    usable, aside = free_bundles.quarantine(damaged)
+    kinds = free_bundles.resources_of(usable).groupBy("resource_type").count()
+    reasons = aside.groupBy("reason").count()
+    return kinds.select(F.lit("resource").alias("what"), F.col("resource_type").alias("name"), F.col("count").alias("n_rows")).unionByName(
+        reasons.select(F.lit("reject").alias("what"), F.col("reason").alias("name"), F.col("count").alias("n_rows"))
+    )
+
+
 @query
 def event_properties(spark, d):
     read = bundles.read_properties(_table(spark, d, "events"), "k INT")

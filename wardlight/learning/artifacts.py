@@ -14,12 +14,12 @@ import time
 import uuid
 from typing import Any
 
-from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlight.errors import SchemaValidationError
+from wardlight.session import rename_new
 
 LOG_FIELDS = (
     "entry long, kind string, version long, previous long, path string, signature string, details string, at double"
@@ -58,7 +58,6 @@ def _append(spark: SparkSession, folder: str, make) -> dict[str, Any]:
     whenever another writer took it."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     staged = hadoop.Path(f"{folder}/staged/{uuid.uuid4().hex}")
-    files = hadoop.FileContext.getFileContext(staged.toUri(), spark._jsc.hadoopConfiguration())
     system = staged.getFileSystem(spark._jsc.hadoopConfiguration())
     system.mkdirs(hadoop.Path(f"{folder}/log"))
     for _ in range(ATTEMPTS):
@@ -67,22 +66,11 @@ def _append(spark: SparkSession, folder: str, make) -> dict[str, Any]:
         out = system.create(staged, True)
         out.write(bytearray((json.dumps(entry) + "\n").encode()))
         out.close()
-        try:
-            files.rename(staged, hadoop.Path(f"{folder}/log/{entry['entry']:08d}.json"), _rename_options(spark))
-        except Py4JJavaError as problem:
-            if "FileAlreadyExists" not in str(problem.java_exception.getClass().getName()):
-                raise
-            continue
-        return entry
+        if rename_new(spark, staged.toString(), f"{folder}/log/{entry['entry']:08d}.json"):
+            return entry
     raise PromotionConflict(f"no free entry in {ATTEMPTS} attempts")
 
 
-def _rename_options(spark: SparkSession):
-    """No options: an existing target is an error."""
-    kind = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
-    return spark.sparkContext._gateway.new_array(kind, 0)
-
-
 def publish(spark: SparkSession, folder: str, model: PipelineModel, signature: str, details: dict[str, Any] | None = None) -> int:
     """Store a model and enter it under the next version, which is returned."""
     path = f"{folder}/models/{uuid.uuid4().hex}"

@@ -8,6 +8,7 @@ import threading
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -77,6 +78,20 @@ def drop_scratch(spark: SparkSession, paths: Sequence[str]) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file or folder; False, and nothing done, where the target exists."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path, no_options = hadoop.Path(source), spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    files = hadoop.FileContext.getFileContext(path.toUri(), spark._jsc.hadoopConfiguration())
+    try:
+        files.rename(path, hadoop.Path(target), no_options)
+    except Py4JJavaError as problem:
+        if "FileAlreadyExists" not in str(problem.java_exception.getClass().getName()):
+            raise
+        return False
+    return True
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a frame once as Parquet in the shared folder and read it back.
 

@@ -6,6 +6,8 @@ stand in another bundle.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,12 +34,22 @@ def _key(reference: Column) -> Column:
     return F.split_part(reference, F.lit("/"), F.lit(2))
 
 
-def encounters_to_bundles(encounters: DataFrame) -> DataFrame:
-    """One bundle per encounter: the Encounter and a Condition per known diagnosis."""
+def encounters_to_bundles(
+    encounters: DataFrame,
+    ranks: Mapping[int, str] = RANKS,
+    codings: Mapping[str, Callable[[Column], Column]] | None = None,
+) -> DataFrame:
+    """One bundle per encounter: the Encounter and a Condition per known diagnosis.
+
+    ``ranks`` gives the columns of diagnoses by rank, ``codings`` what each system makes of a
+    code, in the order of the Condition's codings (default: the code itself, as ICD-9). Ids may
+    be numbers or text.
+    """
+    codings = codings or {ICD9: lambda code: code}
     key = F.col("encounter_id").cast("string")
     ranked = F.filter(
         F.array(
-            *[F.struct(F.lit(r).alias("rank"), F.col(c).alias("code")) for r, c in RANKS.items()]
+            *[F.struct(F.lit(r).alias("rank"), F.col(c).alias("code")) for r, c in ranks.items()]
         ),
         lambda d: d["code"].isNotNull(),
     )
@@ -71,9 +83,9 @@ def encounters_to_bundles(encounters: DataFrame) -> DataFrame:
             F.lit(None).alias("length"),
             F.lit(None).alias("diagnosis"),
             F.struct(
-                F.array(F.struct(F.lit(ICD9).alias("system"), d["code"].alias("code"))).alias(
-                    "coding"
-                )
+                F.array(
+                    *[F.struct(F.lit(s).alias("system"), make(d["code"]).alias("code")) for s, make in codings.items()]
+                ).alias("coding")
             ).alias("code"),
         ).cast(RESOURCE),
     )
@@ -116,15 +128,16 @@ def bundle_report(bundles: DataFrame, column: str = "bundle") -> DataFrame:
     )
 
 
-def flatten_diagnoses(bundles: DataFrame, column: str = "bundle") -> DataFrame:
+def flatten_diagnoses(bundles: DataFrame, column: str = "bundle", id_type: str = "long") -> DataFrame:
     """Every diagnosis an encounter lists, whatever its rank: encounter_id, rank, condition_id, and
-    each distinct system and code of the Condition and its copies; NULL where no Condition came."""
+    each distinct system and code of the Condition and its copies; NULL where no Condition came.
+    Text ids take ``id_type`` "string"."""
     found = materialize(
         resources(bundles, column).filter(F.col("resourceType").isin("Encounter", "Condition")), "resources"
     )
     listed = materialize(
         found.filter(F.col("resourceType") == "Encounter")
-        .select(F.col("id").cast("long").alias("encounter_id"), F.explode("diagnosis").alias("listed"))
+        .select(F.col("id").cast(id_type).alias("encounter_id"), F.explode("diagnosis").alias("listed"))
         .select("encounter_id", "listed.rank", _key(F.col("listed.condition.reference")).alias("condition_id"))
         .distinct(),
         "all-diagnoses",
@@ -140,9 +153,9 @@ def flatten_diagnoses(bundles: DataFrame, column: str = "bundle") -> DataFrame:
     ).select("encounter_id", "rank", "condition_id", "coding.system", "coding.code")
 
 
-def flatten_bundles(bundles: DataFrame, column: str = "bundle") -> DataFrame:
+def flatten_bundles(bundles: DataFrame, column: str = "bundle", id_type: str = "long") -> DataFrame:
     """Encounter rows with the codes of their diagnoses of rank 1 to 3; ``flatten_diagnoses`` has
-    all ranks and codings, ``bundle_report`` counts what gives no rows.
+    all ranks and codings, ``bundle_report`` counts what gives no rows. Text ids take ``id_type`` "string".
 
     A diagnosis reference meets its Condition by id; codes are then spread to
     columns by a conditional aggregate that is combined before it is shuffled. The
@@ -154,8 +167,8 @@ def flatten_bundles(bundles: DataFrame, column: str = "bundle") -> DataFrame:
     )
     scalars = ["encounter_id", "patient_nbr", "time_in_hospital"]
     encounters = found.filter(F.col("resourceType") == "Encounter").select(
-        F.col("id").cast("long").alias("encounter_id"),
-        _key(F.col("subject.reference")).cast("long").alias("patient_nbr"),
+        F.col("id").cast(id_type).alias("encounter_id"),
+        _key(F.col("subject.reference")).cast(id_type).alias("patient_nbr"),
         F.col("length.value").alias("time_in_hospital"),
         F.explode_outer("diagnosis").alias("listed"),
     )

@@ -17,7 +17,7 @@ def header_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_raw_csv(
-    spark: SparkSession, path: str, keep_corrupt: bool = False, names: list[str] | None = None
+    spark: SparkSession, path: str | list[str], keep_corrupt: bool = False, names: list[str] | None = None
 ) -> DataFrame:
     """Raw encounters under their header's names, typed, without an inference pass.
 
