@@ -650,6 +650,14 @@ ORACLES: dict[str, str] = {
             for i in (1, 2, 3)
         ),
     ),
+    "catalog_views": FEATURE_TABLE,
+    "catalog_functions": _from(
+        "features",
+        "SELECT encounter_id, age_category, stay_category, primary_diagnosis_group, inpatient_frequency_tier FROM features",
+    ),
+    "sketch_percentiles": "WITH visits AS (SELECT o_orderpriority AS cohort, CAST(trunc(o_totalprice) AS BIGINT) AS measure"
+    " FROM orders) SELECT cohort, count(*) AS n_rows, count(measure) AS n_values, min(measure) AS least,"
+    " max(measure) AS greatest, TRUE AS p50_within, TRUE AS p90_within, TRUE AS persons_within FROM visits GROUP BY cohort",
     "bundle_codings": _from(
         "clean",
         "SELECT encounter_id, rank, 'http://hl7.org/fhir/sid/icd-9-cm' AS system, code FROM listed"

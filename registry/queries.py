@@ -21,11 +21,12 @@ from wardlight.operators import (
     metrics,
     rejects,
     scoring,
+    sketches,
     views,
 )
 from wardlight.plans import jobs
 from wardlight.session import materialize, scratch_path, tune
-from wardlight.sources import bundles, files, free_bundles, landing, tables
+from wardlight.sources import bundles, catalog, files, free_bundles, landing, tables
 from wardlight.sources.encounters import read_encounters
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -549,6 +550,66 @@ def first_n(spark, d):
     )
 
 
+# --- the catalog and stored sketches -------------------------------------------------
+
+
+def _in_catalog(spark, d):
+    """Clean encounters as a table, with the rules and views beside it; a session that made none
+    of them, and the table's name."""
+    path, table = scratch_path(spark, "clean"), "clean_for_views"
+    files.write_parquet(_clean(spark, d), path)
+    tables.create_clean_table(spark, table, path)
+    catalog.create_functions(spark)
+    catalog.create_views(spark, table)
+    return tune(spark.newSession()), table
+
+
+@query
+def catalog_views(spark, d):
+    """The feature table as another session reads it from the catalog."""
+    other, _ = _in_catalog(spark, d)
+    return other.table("patient_features_view")
+
+
+@query
+def catalog_functions(spark, d):
+    """The rules as SQL functions, called by another session."""
+    other, table = _in_catalog(spark, d)
+    return other.sql(
+        "SELECT encounter_id, age_category(age_midpoint(age)) AS age_category, stay_category(time_in_hospital)"
+        " AS stay_category, diagnosis_group(diag_1) AS primary_diagnosis_group,"
+        " inpatient_frequency_tier(coalesce(number_inpatient, 0)) AS inpatient_frequency_tier"
+        f" FROM {table}"
+    )
+
+
+@query
+def sketch_percentiles(spark, d):
+    """Orders as visits, summed up by day and priority, one half of the days twice; merged, and
+    the merged ranks and persons held against exact ones by the sketches' stated errors."""
+    visits = _table(spark, d, "orders").selectExpr(
+        "o_orderdate AS admitted_at", "o_orderpriority AS cohort", "CAST(o_totalprice AS BIGINT) AS measure", "o_custkey"
+    )
+    path = scratch_path(spark, "sketches")
+    by_day = sketches.daily_sketches(visits, "admitted_at", ["cohort"], "measure", "o_custkey")
+    even = F.pmod(F.dayofyear("day"), F.lit(2)) == 0
+    for part in (by_day, by_day.filter(even)):
+        sketches.store_sketches(part, path)
+    merged = sketches.merge_sketches(sketches.read_sketches(spark, path), ["cohort"])
+    found = materialize(sketches.summary(merged), "summaries")
+    below = lambda c: F.count_if(F.col("measure") < F.col(c)) / F.count("measure")
+    upto = lambda c: F.count_if(F.col("measure") <= F.col(c)) / F.count("measure")
+    ranks = [
+        ((below(c) <= q + sketches.RANK_ERROR) & (upto(c) >= q - sketches.RANK_ERROR)).alias(f"{c}_within")
+        for c, q in (("p50", 0.5), ("p90", 0.9))
+    ]
+    persons = F.count_distinct("o_custkey")
+    near = F.abs(F.first("n_persons") - persons) <= sketches.COUNT_ERROR * persons
+    return visits.join(found, "cohort").groupBy("cohort", "n_rows", "n_values", "least", "greatest").agg(
+        *ranks, near.alias("persons_within")
+    )
+
+
 # --- cohorts, history, bundles -----------------------------------------------------
 
 
