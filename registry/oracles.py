@@ -321,6 +321,9 @@ LISTED = "listed AS (" + " UNION ALL ".join(
     for rank, c in LISTED_RANKS.items()
 ) + ")"
 
+EMBEDDED = "(SELECT vec_id AS encounter_id FROM embeddings) embedded"
+MODELS = "(VALUES ('logistic_regression'), ('random_forest'), ('decision_tree'), ('gbt')) models(model)"
+
 ORACLES: dict[str, str] = {
     "encounters": RAW_TABLE,
     "normalized_names": RAW_TABLE,
@@ -718,6 +721,23 @@ ORACLES: dict[str, str] = {
         + " FROM filled",
         FILLED,
     ),
+    "model_reload": f"SELECT count(*) AS rows, CAST(0 AS BIGINT) AS different FROM {EMBEDDED} WHERE {SIDE} = 'test'",
+    "report_contract": "SELECT model, train_rows, test_rows, TRUE AS all_counted, TRUE AS rates_bounded FROM (SELECT"
+    f" count(*) FILTER ({SIDE} = 'train') AS train_rows, count(*) FILTER ({SIDE} = 'test') AS test_rows FROM {EMBEDDED}),"
+    f" {MODELS}",
+    "prediction_contract": _from(
+        "features",
+        f"SELECT model, encounter_id, TRUE AS bounded, TRUE AS decided FROM features, {MODELS} WHERE {SIDE} = 'test'",
+    ),
+    "regression_gradient": _from(
+        "features", f"SELECT count(*) AS train_rows, CAST(0 AS BIGINT) AS steep_slots FROM features WHERE {SIDE} = 'train'"
+    ),
+    "fold_sizes": _from(
+        "features",
+        "SELECT CAST(floor((bits % 10000 + floor(bits / 10000) / CAST(429497 AS DOUBLE)) / 10000 * 3) AS INT) AS fold,"
+        " count(*) AS n_rows FROM (SELECT CAST('0x' || substr(md5(CAST(encounter_id AS VARCHAR) || ':42'), 1, 8) AS BIGINT)"
+        " AS bits FROM features) GROUP BY 1",
+    ),
     "hash_split": _from("features", f"SELECT encounter_id, {SIDE} AS side FROM features"),
     "split_counts": _from(
         "features", f"SELECT {SIDE} AS side, count(*) AS rows FROM features GROUP BY 1"

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlight import schema as S
@@ -869,6 +870,68 @@ def model_reload(spark, d):
     )
 
 
+@query
+def prediction_contract(spark, d):
+    """Every test encounter under all four classifiers: whether its probabilities are some, and the
+    decision follows them."""
+    train, test, _ = jobs.prepare_training(_clean(spark, d))
+    trained, _ = models.train_all_models(train)
+    chance = vector_to_array("probability")
+    return reduce(
+        DataFrame.unionByName,
+        [
+            model.transform(test).select(
+                F.lit(name).alias("model"),
+                "encounter_id",
+                (chance[0].between(0, 1) & chance[1].between(0, 1) & (F.abs(chance[0] + chance[1] - 1) < 1e-9)).alias("bounded"),
+                ((F.col("prediction") == 1) == (chance[1] > chance[0])).alias("decided"),
+            )
+            for name, model in trained.items()
+        ],
+    )
+
+
+@query
+def regression_gradient(spark, d):
+    """At the regression's coefficients the slope of its penalised loss is near zero for every
+    slot: training rows, and slots where it is not."""
+    train, _, _ = jobs.prepare_training(_clean(spark, d))
+    model, _ = models.train_model("logistic_regression", train)
+    penalty = models.model_settings("logistic_regression")["regParam"]
+    missed = vector_to_array("probability")[1] - F.col(S.TARGET_COLUMN)
+    slots = model.transform(train).select(
+        missed.alias("missed"), F.posexplode(vector_to_array("features")).alias("slot", "value")
+    )
+    weights = spark.createDataFrame([(i, float(w)) for i, w in enumerate(model.coefficients)], "slot int, weight double")
+    slopes = slots.groupBy("slot").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.avg(F.col("missed") * F.col("value")).alias("slope"),
+        F.stddev_samp("value").alias("spread"),
+    )
+    # The penalty is on weights of values divided by their spread.
+    steep = F.abs(F.col("slope") / F.col("spread") + penalty * F.col("weight") * F.col("spread")) > 1e-3
+    return slopes.join(weights, "slot").agg(
+        F.max("n_rows").alias("train_rows"), F.count_if((F.col("spread") > 0) & steep).alias("steep_slots")
+    )
+
+
+@query
+def fold_sizes(spark, d):
+    """Encounters of each fold of a cross-validation."""
+    built = _features(spark, d)
+    return built.groupBy(features.fold_of(built, 3).alias("fold")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def report_contract(spark, d):
+    """The comparison of stored models, as far as it is the same on every run."""
+    report = evaluate_models(spark, d)
+    rates = [F.col(c).between(0, 1) for c in ("accuracy", "precision", "recall", "f1", "auc_roc")]
+    counted = (F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn") == F.col("test_rows")).alias("all_counted")
+    bounded = reduce(Column.__and__, rates).alias("rates_bounded")
+    return report.select("model", "train_rows", "test_rows", counted, bounded)
+
+
 @query
 def evaluate_models(spark, d):
     train, test = features.split_data(_embedding_training(spark, d))
