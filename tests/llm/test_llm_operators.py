@@ -95,6 +95,35 @@ def test_quality_counts(docs):
     same_rows([tuple(r) for r in found.collect()], [(i, *brute_quality(t)) for i, t in TEXTS])
 
 
+def brute_verdict(text):
+    """base_failed and the rules broken, by division of plain counts."""
+    n_words, word_chars, n_symbols, n_dup_lines, n_repeat = brute_quality(text)
+    words = [w for w in regex.split(r"[\x20\x09-\x0D]+", text or "") if w]
+    lines = [x for x in (text or "").split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    stop = sum(w in quality_rules.STOP_WORDS for w in words)
+    broken = [
+        ("mean_word", not 1.5 <= (word_chars / n_words if words else 0) <= 20),
+        ("symbols", (n_symbols / word_chars if words else 0) > 0.3),
+        ("stop_words", (stop + 1) / (n_words + 1) < 0.02),
+        ("dup_lines", (n_dup_lines / len(lines) if lines else 0) > 0.5),
+    ]
+    return n_words < 20 or 100 * n_repeat > 30 * n_words, [name for name, is_broken in broken if is_broken]
+
+
+def test_quality_verdicts(spark, docs):
+    plain = "word and more of it all then again some words that one would write down in a line of text now"
+    more = [
+        (9001, plain), (9002, "x " * 25), (9003, " ".join("abcdefghijklmnopqrstuvwxyz" + str(i) for i in range(25))),
+        (9004, " ".join(f"#$*{i}" for i in range(30))), (9005, (plain + "\n") * 3), (9006, " ".join(f"zq{i}" for i in range(60))),
+    ]
+    both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    found = quality_rules.apply_rules(both).select("doc_id", "quality.base_failed", "quality.failed", "quality.kept")
+    want = [(i, *brute_verdict(t)) for i, t in [*TEXTS, *more]]
+    same_rows([tuple(r) for r in found.collect()], [(i, b, f, not b and not f) for i, b, f in want])
+    assert {name for _, _, f in want for name in f} == {r.name for r in quality_rules.RULES}
+    assert any(not b and not f for _, b, f in want)
+
+
 def test_quality_is_one_projection(docs, none, plan):
     judged = quality_rules.apply_rules(docs)
     text = plan(judged)

@@ -209,6 +209,40 @@ SELECT d.doc_id, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(n_removed, 0)
 FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN spans USING (doc_id)
 """
 
+#: Lengths, counts and covered words of repeated windows, then the thresholds one by one.
+OP5_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), there AS (
+  SELECT r, i, array_to_string(w[i : i + 7], ' ') AS words
+  FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM d)
+), again AS (
+  SELECT r, i FROM there QUALIFY count(*) OVER (PARTITION BY r, words) > 1
+), covered AS (
+  SELECT r, sum(own) AS n FROM (
+    SELECT r, least(8, coalesce(lead(i) OVER (PARTITION BY r ORDER BY i) - i, 8)) AS own FROM again) GROUP BY r
+), counted AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+    len(list_filter(w, lambda x: list_contains([STOP], x))) AS n_stop
+  FROM d LEFT JOIN covered USING (r)
+), based AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failed_rules,
+  NOT base_failed AND failed_rules = '' AS kept
+FROM (SELECT *, concat_ws(',',
+  CASE WHEN NOT coalesce(word_chars::DOUBLE / nullif(n_words, 0), 0) BETWEEN 1.5 AND 20 THEN 'mean_word' END,
+  CASE WHEN coalesce(n_symbols::DOUBLE / nullif(word_chars, 0), 0) > 0.3 THEN 'symbols' END,
+  CASE WHEN (n_stop + 1)::DOUBLE / (n_words + 1) < 0.02 THEN 'stop_words' END,
+  CASE WHEN coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0), 0) > 0.5 THEN 'dup_lines' END) AS failed_rules
+FROM based)
+""".replace("STOP", ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS))
+
 #: Every window of an item joined to every window of that length of every document.
 OP11_SQL = r"""
 WITH d AS (
@@ -238,4 +272,4 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN covered USING (r) LEFT JOIN listed USING (r)
 """
 
-ORACLES: dict[str, str] = {"op9_unit_dedup": OP9_SQL, "op11_phrase_index": OP11_SQL}
+ORACLES: dict[str, str] = {"op5_quality_rules": OP5_SQL, "op9_unit_dedup": OP9_SQL, "op11_phrase_index": OP11_SQL}
