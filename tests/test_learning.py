@@ -408,3 +408,8 @@ def test_only_one_writer_takes_an_entry(spark, tmp_path):
 
     assert artifacts._append(spark, folder, slow)["entry"] == 2 and seen_by_first == [0, 1]
     assert [r["path"] for r in artifacts.log_entries(spark, folder).collect()] == ["other", "own"]
+
+
+def test_a_complete_comparison_refuses_missing_models(spark):
+    with pytest.raises(ValueError, match="gbt"):
+        evaluate.evaluate_models({}, spark.range(1), names=["gbt"], complete=True)

@@ -96,6 +96,18 @@ def test_report_columns_and_order(spark):
     assert second["train_rows"] == 7 and first["train_rows"] is None
 
 
+def test_a_model_without_predictions_has_a_row_of_zeros(spark):
+    some = predictions(spark, {(1, 1): 2, (0, 0): 3}, "gbt")
+    for given in (some, some.limit(0)):
+        report = metrics.comparison_report(given, known={"gbt": {"train_rows": 7}, "random_forest": {"train_rows": 8}})
+        row = report.filter("model = 'random_forest'").first()
+        assert row["train_rows"] == 8
+        assert all(row[c] == 0 for c in [*metrics.COUNTS, *metrics.RATES, "test_rows", "auc_roc"])
+        assert [r["model"] for r in report.collect()] == ["random_forest", "gbt"]
+        metrics.enforce_metrics(report)
+    assert metrics.comparison_report(some).count() == 1
+
+
 def test_champion(spark):
     rows = [("a", 0.6, 0.7, 0.5, 2.0), ("b", 0.6, 0.8, 0.4, 3.0), ("c", 0.6, 0.8, 0.9, 1.0), ("d", 0.5, 0.9, 0.1, 0.1)]
     report = spark.createDataFrame(

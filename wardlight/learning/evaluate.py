@@ -71,13 +71,18 @@ def evaluate_models(
     label: str = S.TARGET_COLUMN,
     names: Sequence[str] = tuple(MODEL_ORDER),
     csv: str | None = None,
+    complete: bool = False,
 ) -> DataFrame:
     """Comparison report of fitted models, or of those stored under a folder; also
-    written as CSV where a path is given."""
+    written as CSV where a path is given. ``complete`` refuses a set that lacks one of
+    ``names``; without test rows every model has a row of zeros."""
     if isinstance(models, str):
         models = {name: load_model(name, f"{models}/{name}") for name in names}
     elif not isinstance(models, dict):
         raise TypeError(f"need models by name or their folder, got {type(models).__name__}")
+    missing = [name for name in names if name not in models]
+    if complete and missing:
+        raise ValueError(f"missing models: {missing}")
     ordered = {name: models[name] for name in names if name in models}
     predictions, seconds = timed_predictions(ordered, test, label)
     known = {

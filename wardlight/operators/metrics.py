@@ -200,11 +200,16 @@ def comparison_report(
     order: Sequence[str] = tuple(MODEL_ORDER),
 ) -> DataFrame:
     """The 17-column report. ``known`` holds, per model, what predictions cannot
-    tell: train rows, feature dimension and the two timings."""
+    tell: train rows, feature dimension and the two timings. A model of ``known`` without a
+    prediction (the test side is empty) has a row of zeros."""
     known = known or {}
-    figures = with_rates(confusion(predictions, label, prediction)).join(
-        auc(predictions, label, score), "model", "left"
-    )
+    counted = confusion(predictions, label, prediction)
+    if known:
+        # A row per model on either side.
+        names = predictions.sparkSession.createDataFrame([(m,) for m in known], "model string")
+        counted = names.join(counted, "model", "full").fillna(0, [c for c in counted.columns if c != "model"])
+    figures = with_rates(counted).join(auc(predictions, label, score), "model", "left")
+    figures = figures.withColumn("auc_roc", F.when(F.col("test_rows") == 0, 0.0).otherwise(F.col("auc_roc")))
     rounded = figures.withColumns({c: F.round(c, 6) for c in [*RATES, "auc_roc"]})
     facts = {
         "train_rows": "long",
