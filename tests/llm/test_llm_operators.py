@@ -281,6 +281,31 @@ def test_each_token_has_its_own_weight(spark):
         assert rows[k]["score"] == pytest.approx(np.log((seen[True]["urls"] + 1) / (seen[False]["urls"] + 1)) + odds)
 
 
+def test_the_model_learns_what_rules_say(spark):
+    rules = [url_filter.Rule("block", "example.org/dark/"), url_filter.Rule("allow", "example.org/light/")]
+    urls = [(k, f"http://n{chr(97 + k % 26)}{chr(97 + k // 26)}.example.org/{'dark' if k % 3 == 0 else 'light'}/{k}") for k in range(300)]
+    urls += [(1000, "http://naa.example.org/Dark"), (1001, "http://naa.example.org/Light")]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    counts = spark.createDataFrame([("example", 500), ("org", 500)], "word string, n long")
+    judged = url_filter.judge(pages, rules, counts)
+    rows = {r["page_id"]: r for r in judged.collect()}
+    assert [rows[k]["verdict"] for k in (1000, 1001)] == ["block", "allow"]
+    out = {k for k, r in rows.items() if k < 1000 and zlib.crc32(r["host"].encode()) % url_filter.HELD_OUT == 0}
+    assert out == {k for k, r in rows.items() if r["held_out"]} and len(out) > 20
+    error = {r["verdict"]: (r["n_held_out"], r["n_wrong"]) for r in url_filter.rule_error(judged).collect()}
+    assert error == {"block": (sum(k % 3 == 0 for k in out), 0), "allow": (sum(k % 3 > 0 for k in out), 0)}
+    assert url_filter.rule_error(judged.limit(0)).count() == 0
+
+
+def test_long_runs_of_letters_are_words_too(spark):
+    long = "abcdefghijklmnopqrstuvwxyzabcdefghij"
+    texts = spark.createDataFrame([(f"{long} <b>x</b> {long}",)], "html string")
+    counts = url_filter.word_counts(texts, "html")
+    assert {tuple(r) for r in counts.collect()} == {(long, 2), ("x", 1)}
+    hosts = spark.createDataFrame([(f"x{long}.net",)], "host string")
+    assert url_filter.segment_hosts(hosts, counts).first()["words"][:2] == ["x", long]
+
+
 def test_viterbi_is_the_cheapest_split():
     costs = {"ca": 3.0, "sino": 3.0, "casino": 4.0, "win": 2.0, "inow": 1.0, "cas": 2.0}
     unknown = lambda n: 5.0 + 3 * n

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from wardlight.llm.common import materialize, mix64, one_of, rows_of, shuffle_width, texts_of
 from wardlight.llm.components import components
+from wardlight.operators.spread import join_spread
 
 #: Words remembered by a task; it starts over beyond that, so its memory is bounded.
 REMEMBERED = 500_000
@@ -444,9 +445,14 @@ def link(
         "shingle-parts",
     )
     # One row for each distinct set, the first in the table; only these go on.
-    classes = materialize(
-        state.filter("size > 0").groupBy("digest").agg(F.min("row").alias("class")), "classes"
-    )
+    held = materialize(
+        state.groupBy("digest").agg(
+            F.min("row").alias("class"), F.min("doc_id").alias("least"), F.max("size").alias("size"),
+            F.count(F.lit(1)).alias("_rows"),
+        ),
+        "classes",
+    )
+    classes = held.filter("size > 0").select("digest", "class", "least")
     heads = classes.select(F.col("class").alias("row"))
     near = _prefix_lists(state, heads, percent, LEVELS, buckets)
 
@@ -507,15 +513,16 @@ def link(
     links = links.unionByName(_verify(materialize(rest, "rest-pairs"), sets, percent))
     found = components(links).withColumnsRenamed({"node": "class", "component": "head"})
 
-    homes = state.select("row", "doc_id", "size", "digest").join(classes, "digest", "left")
+    # Components are settled for distinct sets. Rows meet them once, by digest, and neither a set
+    # that many rows share nor a component of many sets is gathered in one task.
     homes = materialize(
-        homes.join(found, "class", "left").select(
-            "row", "doc_id", "size", F.coalesce("head", "class").alias("head")
-        ),
-        "class-rows",
+        classes.join(found, "class", "left").select("digest", "least", F.coalesce("head", "class").alias("head")),
+        "class-heads",
     )
-    least = homes.filter(F.col("head").isNotNull()).groupBy("head").agg(F.min("doc_id").alias("component_id"))
-    return homes.join(least, "head", "left").select(
+    least = homes.groupBy("head").agg(F.min("least").alias("component_id"))
+    named = join_spread(homes, least, ["head"]).select("digest", "head", "component_id")
+    rows = state.select("row", "doc_id", "size", "digest")
+    return join_spread(rows, materialize(named, "class-components"), ["digest"], held.select("digest", "_rows")).select(
         "row",
         F.col("doc_id").alias(key),
         F.col("size").alias("n_shingles"),

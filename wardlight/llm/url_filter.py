@@ -4,9 +4,11 @@ Host names glue words together. Each run of letters in a distinct host is split
 unigram Viterbi: the split whose words are likeliest together, where an unknown run is
 charged by its length. The word counts come from a table of any size: the substrings of
 the distinct hosts are joined to it, so no vocabulary is broadcast. A multinomial naive
-Bayes over host words and path tokens then judges what no rule decides. It learns from all
-urls: those with a seed word among their tokens are its examples of block, all others of
-allow, so words that keep company with seeds count against a url too. Its counts are kept
+Bayes over host words and path tokens then judges what no rule decides. Its examples are the urls
+that rules decide, with the rules' verdicts as labels. Where no rule fits, a seed word among the
+tokens makes a url an example of block and its absence one of allow, so words that keep company
+with seeds count against a url too. One in ``HELD_OUT`` of the hosts is kept out of what is learned
+from rules, so ``rule_error`` tells how often the model would have decided otherwise. Counts are kept
 for each token by itself in a table that grows with the corpus: the weights are joined to the
 tokens of distinct hosts and distinct paths, and only their totals reach the driver.
 
@@ -29,7 +31,9 @@ from wardlight.llm.common import materialize, one_of, rows_of
 from wardlight.operators.spread import join_spread
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-MAX_WORD = 24
+#: No label of a host name is longer, so no longer piece is tried.
+MAX_WORD = 63
+HELD_OUT = 5
 ALLOW, BLOCK = "allow", "block"
 RUNS = re.compile(r"[^\W\d_]+|\d+")
 NUMBER = "0"
@@ -85,8 +89,7 @@ def word_counts(texts: DataFrame, column: str) -> DataFrame:
     """word, n: lower-case runs of letters outside of tags."""
     plain = F.lower(F.regexp_replace(F.col(column), "<[^>]*>", " "))
     words = texts.select(F.explode(F.split(plain, r"[^\p{L}]+")).alias("word"))
-    fit = (F.length("word") > 0) & (F.length("word") <= MAX_WORD)
-    return words.filter(fit).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return words.filter(F.length("word") > 0).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def split_word(run: str, cost_of: dict[str, float], unknown) -> list[str]:
@@ -160,10 +163,12 @@ def _segment_task(total: int):
 def segment_hosts(hosts: DataFrame, counts: DataFrame) -> DataFrame:
     """``host`` and ``words`` for each distinct host. ``counts`` (word, n) is read twice: store it."""
     total = counts.agg(F.sum("n")).first()[0] or 0
-    distinct = hosts.select("host").distinct()
+    distinct = materialize(hosts.select("host").distinct(), "hosts")
     pieces = distinct.mapInArrow(_pieces_task(), "host string, word string")
+    # Pieces such as "com" stand in most hosts.
     known = (
-        pieces.join(counts, "word")
+        join_spread(pieces, counts, ["word"])
+        .filter(F.col("n").isNotNull())
         .groupBy("host")
         .agg(F.collect_list(F.struct("word", "n")).alias("known"))
     )
@@ -242,8 +247,9 @@ def judge(
     url: str = "url",
     seeds=SEEDS,
 ) -> DataFrame:
-    """Per row of ``pages``: key, host, path, rule, verdict, and the model's words and score
-    (log odds of block). ``counts`` has columns word and n; ``seeds`` are added to it."""
+    """Per row of ``pages``: key, host, path, rule, verdict, and the model's words, score (log odds
+    of block), model_verdict, and held_out: whether a rule decides the row but was not learned from.
+    ``counts`` has columns word and n; ``seeds`` are added to it."""
     spark = pages.sparkSession
     given = spark.range(1).select(
         F.explode(F.array(*[F.lit(w) for w in seeds])).alias("word"), F.lit(SEED_COUNT).cast("long").alias("n")
@@ -260,11 +266,15 @@ def judge(
     split = materialize(
         join_spread(read, words, ["host"])
         .select("key", "host", "path", "found.rule", F.col("found.verdict").alias("given"), "words")
-        .withColumn("label", F.when(marked, BLOCK).otherwise(ALLOW)),
+        .withColumn("held_out", F.col("given").isNotNull() & (F.crc32(F.encode("host", "utf-8")) % HELD_OUT == 0))
+        .withColumn(
+            "label",
+            F.when(~F.col("held_out"), F.coalesce("given", F.when(marked, BLOCK).otherwise(ALLOW))),
+        ),
         "url-words",
     )
-    block, pages_read = split.agg(F.count(F.when(F.col("label") == BLOCK, 1)), F.count(F.lit(1))).first()
-    prior = math.log((block + 1) / (pages_read - block + 1))
+    block, allow = split.agg(*[F.count(F.when(F.col("label") == c, 1)) for c in (BLOCK, ALLOW)]).first()
+    prior = math.log((block + 1) / (allow + 1))
     scores = part_scores(url_parts(split))
     scored = split
     for part in ("host", "path"):
@@ -273,7 +283,17 @@ def judge(
             scored, own.select(F.col("part").alias(part), F.col("score").alias(f"{part}_score")), [part]
         )
     scored = scored.withColumn("score", F.lit(prior) + F.col("host_score") + F.col("path_score"))
-    verdict = F.coalesce("given", F.when(F.col("score") > 0, BLOCK).otherwise(ALLOW))
+    own = F.when(F.col("score") > 0, BLOCK).otherwise(ALLOW)
     return scored.select(
-        F.col("key").alias(key), "host", "path", "rule", verdict.alias("verdict"), "words", "score"
+        F.col("key").alias(key), "host", "path", "rule", F.coalesce("given", own).alias("verdict"), "words",
+        "score", own.alias("model_verdict"), "held_out",
+    )
+
+
+def rule_error(judged: DataFrame) -> DataFrame:
+    """Per verdict of a rule: how many held-out rows of ``judge`` it decides, and for how many of
+    them the model says otherwise."""
+    wrong = F.count(F.when(F.col("verdict") != F.col("model_verdict"), 1))
+    return judged.filter("held_out").groupBy("verdict").agg(
+        F.count(F.lit(1)).alias("n_held_out"), wrong.alias("n_wrong")
     )
