@@ -97,6 +97,11 @@ def test_joined_table_equals_the_projection(clean):
     assert joined.exceptAll(one).count() == 0 and one.exceptAll(joined).count() == 0
 
 
+def test_joined_table_broadcasts_no_side(clean, plan):
+    text = plan(views.patient_features_joined(clean))
+    assert "BroadcastExchange" not in text and text.count("SortMergeJoin") == 4
+
+
 def test_joined_table_refuses_repeated_ids(clean):
     twice = clean.unionByName(clean.limit(1))
     with pytest.raises(DataIntegrityError):

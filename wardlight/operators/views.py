@@ -8,6 +8,7 @@ joining the views, for callers that hold them as separate tables.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,18 +126,21 @@ def patient_features_joined(clean: DataFrame, allow_duplicates: bool = False) ->
     An id that occurs n times comes out n**5 times, so by default repeated ids are
     refused (one aggregation over the id column). With unique ids no join key can
     be hot. Read ``clean`` from a table bucketed by encounter id
-    (``sources.tables.write_clean_table``) and none of the joins shuffles.
+    (``sources.tables.write_clean_table``) and none of the joins shuffles. The joins merge:
+    every side has a row per encounter, and a packed file's size, by which a plan would choose,
+    makes millions of rows look small enough for the driver to broadcast.
     """
     if not allow_duplicates:
         require_unique(clean, KEY)
-    joined = clean
-    for view, columns in [
-        (age_bins(clean), S.AGE_BIN_COLUMNS),
-        (stay_categories(clean), S.STAY_COLUMNS),
-        (diagnosis_groups(clean), S.DIAGNOSIS_GROUP_COLUMNS + S.DIAGNOSIS_FLAG_COLUMNS),
-        (prior_admissions(clean), S.UTILIZATION_COLUMNS),
-    ]:
-        joined = joined.join(view.select(KEY, *columns), KEY, "inner")
+    views = [
+        age_bins(clean).select(KEY, *S.AGE_BIN_COLUMNS),
+        stay_categories(clean).select(KEY, *S.STAY_COLUMNS),
+        diagnosis_groups(clean).select(KEY, *S.DIAGNOSIS_GROUP_COLUMNS, *S.DIAGNOSIS_FLAG_COLUMNS),
+        prior_admissions(clean).select(KEY, *S.UTILIZATION_COLUMNS),
+    ]
+    # The narrow views meet first, so that the wide rows go through one join.
+    derived = reduce(lambda a, b: a.join(b.hint("merge"), KEY), views)
+    joined = clean.join(derived.hint("merge"), KEY)
     return joined.select(S.PATIENT_FEATURE_COLUMNS)
 
 
