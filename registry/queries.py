@@ -1008,8 +1008,9 @@ def fixed_weight_pipeline():
     from pyspark.ml import PipelineModel
     from pyspark.ml.feature import SQLTransformer
 
-    margin = " + ".join(f"coalesce(CAST({c} AS DOUBLE), 0D) * {w}D" for c, w in WEIGHTS.items())
-    chance = f"1D / (1D + exp(-({margin} + ({INTERCEPT}D))))"
+    # The intercept comes first, as in score_with_weights: in another order a sum may miss a tier by its last bit.
+    margin = " + ".join([f"({INTERCEPT}D)", *(f"coalesce(CAST({c} AS DOUBLE), 0D) * {w}D" for c, w in WEIGHTS.items())])
+    chance = f"1D / (1D + exp(-({margin})))"
     return PipelineModel(
         stages=[
             SQLTransformer(statement=f"SELECT *, 1D - {chance} AS _other, {chance} AS _chance FROM __THIS__"),

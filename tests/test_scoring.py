@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from registry.queries import INTERCEPT, WEIGHTS, _score
+from registry.queries import INTERCEPT, WEIGHTS, _score, fixed_weight_pipeline
 from wardlight.functions.clinical import risk_tier
 from wardlight.operators import scoring
 from wardlight.session import materialize
@@ -20,6 +20,16 @@ def test_tiers(spark):
     assert own.first()["t"] == "High"
 
 
+def test_stored_weights_score_as_the_weights_do(spark):
+    """To the last bit: margins that are nought in one order of the sum only fall into another tier."""
+    edge = [(1, 2, 3, 40, 4, 1, 0, 1), (2, 0, 8, 15, 4, 1, 0, 1), (3, 0, 2, 15, 16, 0, 0, 0), (3, 0, 5, 15, 10, 0, 0, 0)]
+    rows = spark.createDataFrame(edge, ", ".join(f"{c} int" for c in WEIGHTS))
+    own = scoring.score_with_weights(rows, WEIGHTS, INTERCEPT).select(*WEIGHTS, "risk_score", "risk_tier")
+    stored = scoring.score_with_model(rows, fixed_weight_pipeline()).select(*WEIGHTS, "risk_score", "risk_tier")
+    assert sorted(own.collect()) == sorted(stored.collect())
+    assert {r["risk_tier"] for r in stored.collect()} == {"High"}
+
+
 def test_missing_inputs_add_nothing(spark):
     df = spark.createDataFrame([(None, 2)], "a int, b int")
     row = scoring.score_with_weights(df, {"a": 5.0, "b": 1.0}, -2.0).first()
