@@ -4,6 +4,7 @@ import pytest
 
 from wardlight.operators import ordered
 from wardlight.operators.spread import join_spread
+from wardlight.session import scratch_paths
 
 
 @pytest.fixture(scope="module")
@@ -67,3 +68,13 @@ def test_spread_join_equals_the_plain_one(spark, width):
     got = join_spread(big, unique, ["k", "c"], width=width)
     plain = big.join(unique, ["k", "c"], "left")
     assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
+    hashed = join_spread(big, unique, ["k", "c"], width=width, many_keys=True)
+    assert sorted(map(repr, hashed.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_keys_that_differ_are_not_counted_one_by_one(spark):
+    """A hash of the keys tells that none is hot, so no table of counts is written."""
+    big, unique = spark.range(4000).withColumnRenamed("id", "k"), spark.range(4000).selectExpr("id AS k", "-id AS v")
+    before = len(scratch_paths())
+    assert join_spread(big, unique, ["k"], many_keys=True).filter("v = -k").count() == 4000
+    assert len(scratch_paths()) == before

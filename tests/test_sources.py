@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from wardlight import schema as S
 from wardlight.plans import jobs
@@ -196,3 +197,13 @@ def test_job_takes_columns_in_any_order_and_names_missing_ones(spark, raw, tmp_p
     files.write_csv(named.drop("insulin"), str(tmp_path / "missing"))
     with pytest.raises(SchemaValidationError, match="insulin"):
         run_preprocessing(spark, str(tmp_path / "missing"), str(tmp_path / "c"))
+
+
+def test_encounters_are_dealt_by_their_number(spark, tmp_path):
+    """A file of keys is one small task by its size; its rows become wide ones, and go to several."""
+    orders = spark.range(60_000).selectExpr("id AS o_orderkey", "id % 500 AS o_custkey")
+    orders.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    dealt = read_encounters(spark, str(tmp_path))
+    sizes = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 3 and max(r["count"] for r in sizes) <= 25_000
+    assert dealt.select("encounter_id").distinct().count() == 60_000

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import tempfile
 import threading
@@ -12,6 +13,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows of a task whose rows grow on the way, see ``deal_rows``.
+ROWS_A_TASK = 25_000
 #: Paths that this thread has asked for, so that a caller can drop what it no longer reads.
 _asked = threading.local()
 
@@ -104,6 +107,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def deal_rows(df: DataFrame, rows_a_task: int = ROWS_A_TASK, rows: int | None = None) -> DataFrame:
+    """The frame in tasks of at most about ``rows_a_task`` rows; left as it is when it has no more.
+
+    For rows that take far more room or time than the bytes they are read from, by which files
+    are cut into tasks. Give a stored frame (its rows are counted), or ``rows`` where known.
+    """
+    rows = df.count() if rows is None else rows
+    tasks = math.ceil(rows / rows_a_task)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """How many ways the cluster is set up to split a shuffle."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

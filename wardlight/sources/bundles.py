@@ -148,7 +148,7 @@ def flatten_diagnoses(bundles: DataFrame, column: str = "bundle", id_type: str =
         .groupBy("condition_id")
         .agg(F.array_sort(F.collect_set("coding")).alias("codings"))
     )
-    return join_spread(listed, codings, ["condition_id"]).select(
+    return join_spread(listed, codings, ["condition_id"], many_keys=True).select(
         "encounter_id", "rank", "condition_id", F.explode_outer("codings").alias("coding")
     ).select("encounter_id", "rank", "condition_id", "coding.system", "coding.code")
 
@@ -188,11 +188,10 @@ def flatten_bundles(bundles: DataFrame, column: str = "bundle", id_type: str = "
         .groupBy(F.col("id").alias("condition_id"))
         .agg(F.max(F.struct(coding["system"].eqNullSafe(ICD9).alias("own"), coding["code"].alias("code")))["code"].alias("code"))
     )
-    # Copies of an encounter collapse too, and a condition that very many encounters
-    # name is joined apart from the shuffle.
-    listed = materialize(ranked.distinct(), "listed-diagnoses")
+    # A condition that very many encounters name is joined apart from the shuffle. Copies of an
+    # encounter need no step of their own: they collapse in the last aggregate.
     return (
-        join_spread(listed, conditions, ["condition_id"])
+        join_spread(ranked, conditions, ["condition_id"], many_keys=True)
         .groupBy(*scalars)
         .agg(*[F.max(F.when(F.col("rank") == r, F.col("code"))).alias(c) for r, c in RANKS.items()])
     )

@@ -104,8 +104,9 @@ def number_keys(keys: DataFrame, column: str, stored: DataFrame | None = None) -
 
 def with_numbers(rows: DataFrame, column: str, numbers: DataFrame, as_: str) -> DataFrame:
     """The rows with the number of their text id as another column; a key that very many rows
-    share does not make one task large, an unknown or NULL one has NULL."""
+    share does not make one task large, an unknown or NULL one has NULL. Give ``rows`` as a stored
+    table: they are read to be counted and to be joined."""
     known = numbers.select(F.col("key").alias(column), F.col("number").alias(as_))
     given, none = rows.filter(F.col(column).isNotNull()), rows.filter(F.col(column).isNull())
-    met = join_spread(materialize(given, "keyed-rows"), known, [column])
+    met = join_spread(given, known, [column], many_keys=True)
     return met.select(*rows.columns, as_).unionByName(none.select("*", F.lit(None).cast("long").alias(as_)))
