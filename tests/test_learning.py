@@ -413,3 +413,24 @@ def test_only_one_writer_takes_an_entry(spark, tmp_path):
 def test_a_complete_comparison_refuses_missing_models(spark):
     with pytest.raises(ValueError, match="gbt"):
         evaluate.evaluate_models({}, spark.range(1), names=["gbt"], complete=True)
+
+
+def test_fits_get_rows_dealt_by_their_number(spark, monkeypatch):
+    """One stored file of sparse vectors is one task by its size, and all its rows in memory at once."""
+    from wardlight.learning import models
+
+    seen = []
+
+    class Watched:
+        numFeatures = 1
+
+        def fit(self, rows):
+            seen.append([r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()])
+            return self
+
+    monkeypatch.setattr(models, "build_estimator", lambda name, **changed: Watched())
+    rows = materialize(spark.range(60_000).coalesce(1), "rows")
+    models.train_model("gbt", rows)
+    models.train_all_models(rows, names=["gbt"])
+    assert [len(s) for s in seen] == [3, 3] and max(max(s) for s in seen) <= 25_000
+    assert sum(seen[0]) == sum(seen[1]) == 60_000 and not rows.is_cached

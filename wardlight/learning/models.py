@@ -24,6 +24,7 @@ from pyspark.storagelevel import StorageLevel
 from wardlight import schema as S
 from wardlight.learning.features import FEATURES, fold_of
 from wardlight.operators.metrics import MODEL_ORDER
+from wardlight.session import deal_rows
 
 # The parameters each classifier is compared with.
 SETTINGS: dict[str, dict[str, Any]] = {
@@ -86,7 +87,13 @@ def build_estimator(name: str, features: str = FEATURES, label: str = S.TARGET_C
 
 
 def train_model(name: str, train: DataFrame, **changed) -> tuple[Any, float]:
-    """Fitted model and the seconds the fit took."""
+    """Fitted model and the seconds the fit took.
+
+    Rows are dealt by their number unless the caller has cached them: trees keep every slot of a
+    row in memory, so tasks cut by the size of files of sparse vectors would hold gigabytes.
+    """
+    if not train.is_cached:
+        train = deal_rows(train)
     start = time.perf_counter()
     model = build_estimator(name, **changed).fit(train)
     return model, time.perf_counter() - start
@@ -109,14 +116,14 @@ def train_all_models(
 ) -> tuple[dict[str, Any], dict[str, dict[str, Any]]]:
     """Fit every classifier on the same rows; return models and a record of each.
 
-    Give ``train`` as a stored table (``session.materialize``): it is cached for the
-    many passes of the fits, and a lost executor reads its part again instead of
+    Give ``train`` as a stored table (``session.materialize``): it is dealt into tasks of a
+    bounded number of rows and cached for the many passes of the fits, and a lost executor reads its part again instead of
     recomputing it. With a folder each model is stored, loaded back and tried on
     a few test rows.
     """
-    train.persist(StorageLevel.MEMORY_AND_DISK)
+    train_rows = train.count()
+    train = deal_rows(train, rows=train_rows).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        train_rows = train.count()
         test_rows = test.count() if test is not None else 0
         models, records = {}, {}
         for name in names:
