@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import sys
 import zlib
 from collections import Counter
 
@@ -236,6 +237,25 @@ def test_word_encoder_on_odd_words():
         assert own.encode([text], 2)[0].tolist() == [*library.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_new_words_are_learned_together():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), packing.WordEncoder(path)
+    library.encode_special_tokens = True
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdeéñ" if k % 9 == 0 else "abcdefgh", k=6)) for k in range(3000)]
+    words = [w.title() if k % 4 == 0 else w + "., "[k % 3].strip() for k, w in enumerate(words)]
+    calls = Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([frame.f_code.co_name] if event == "call" else []))
+    try:
+        found = own.encode(["", " ".join(words)], 2)
+    finally:
+        sys.setprofile(None)
+    assert [f.tolist() for f in found] == [[2], [*library.encode(" ".join(words), add_special_tokens=False).ids, 2]]
+    # A call a word notes it as unknown; all else is done for many words at once.
+    assert calls.total() < 1.2 * len(words), calls
+    assert [f.tolist() for f in packing.WordEncoder(path).encode(["", " \n"], 2)] == [[2], [2]]
+
+
 # Url filter
 
 RULES = [url_filter.Rule("allow", "org/"), url_filter.Rule("block", "example.org/en/1")]

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -66,49 +67,80 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        # For a lower-case word of Latin letters only the merges are left to do.
+        # For a lower-case word of Latin letters only the merges are left to do. Many go in one
+        # string; the line feed between them is a piece of its own there, and so is its id.
         self.merges = Tokenizer(self.tokenizer.model)
-        self.merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split("\n", "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.between = self.merges.encode("\n", add_special_tokens=False).ids
         self._forget()
 
     def _forget(self) -> None:
         self.known = Known()
         self.flat, self.starts = array("I"), array("I", [0])
 
-    def _keep(self, word: str, ids) -> None:
-        self.known[word] = len(self.starts) - 1
-        self.flat.extend(ids)
-        self.starts.append(len(self.flat))
-
-    def _ids(self, word: str):
-        k = self.known[word]
-        return self.flat[self.starts[k] : self.starts[k + 1]]
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first = len(self.starts) - 1
+        self.known.update(zip(words, range(first, first + len(words)), strict=True))
+        self.starts.frombytes((len(self.flat) + np.cumsum(sizes)).astype(np.uint32).tobytes())
+        self.flat.frombytes(ids.astype(np.uint32).tobytes())
+
+    def _keep_lists(self, words: list[str], tokenizer) -> None:
+        found = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self._keep(words, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
+
+    def _keep_merged(self, words: list[str]) -> None:
+        """Words without line feeds, by the merges alone."""
+        if len(self.between) != 1:
+            self._keep_lists(words, self.merges)
+            return
+        # Short strings, since the library's time for a cut grows with the string's length.
+        joined = ["\n".join(words[k : k + 20]) for k in range(0, len(words), 20)]
+        found = [e.ids + self.between for e in self.merges.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
+        cuts = np.flatnonzero(ids == self.between[0])
+        self._keep(words, np.delete(ids, cuts), np.diff(np.concatenate([[-1], cuts])) - 1)
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words numbered ``at``, one after another, and where each begins and the last ends."""
+        flat, starts = np.frombuffer(self.flat, np.uint32), np.frombuffer(self.starts, np.uint32)
+        first = starts[at].astype(np.int64)
+        sizes = starts[at + 1] - first
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return flat[np.repeat(first - ends[:-1], sizes) + np.arange(ends[-1])], ends
 
     def _learn(self, words: set[str]) -> None:
-        plain, latin, pairs = {}, {}, []
+        plain, latin, whole, bodies, tails = {}, {}, [], [], []
         for word in words:
-            body = word[:-1] if word[-1] in ".," and len(word) > 1 else word
-            lower = body.lower()
-            if lower.isalpha() and max(lower) < "ɐ":
-                tail, body = word[len(body) :], lower
-                pairs.append((word, body, tail))
-                latin[body] = plain[tail] = None
+            tail = word[-1] if word[-1] in ".," else ""
+            lower = (word[:-1] if tail else word).lower()
+            if lower.isalpha() and (lower.isascii() or max(lower) < "ɐ"):
+                latin[lower] = None
+                if tail or lower != word:
+                    whole.append(word)
+                    bodies.append(lower)
+                    tails.append(tail)
             else:
                 plain[word] = None
-        plain.pop("", None)
-        tokenize = self.merges.model.tokenize
-        for tokenizer, own in ((self.tokenizer, plain), (self.merges, latin)):
-            new = [word for word in own if word not in self.known]
-            if tokenizer is self.merges:
-                for word in new:
-                    if word.isascii():
-                        self._keep(word, [token.id for token in tokenize(word)])
-                new = [word for word in new if not word.isascii()]
-            for word, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self._keep(word, found.ids)
-        for word, body, tail in pairs:
-            if word not in self.known:
-                self._keep(word, self._ids(body) + self._ids(tail) if tail else self._ids(body))
+        plain |= dict.fromkeys(tail for tail in set(tails) if tail)
+        known = self.known.keys()
+        self._keep_lists([word for word in plain if word not in known], self.tokenizer)
+        self._keep_merged([word for word in latin if word not in known])
+        if not whole:
+            return
+        # A word's own ids are those of its letters and then those of what stands behind.
+        pairs = np.empty(2 * len(whole), np.int64)
+        pairs[0::2] = self._numbers(bodies)
+        pairs[1::2] = [self.known[tail] if tail else -1 for tail in tails]
+        ids, ends = self._gather(pairs[pairs >= 0])
+        parts = np.zeros(len(pairs), np.int64)
+        parts[pairs >= 0] = np.diff(ends)
+        self._keep(whole, ids, parts.reshape(-1, 2).sum(axis=1))
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         """The ids of each text with the end id behind them."""
@@ -116,16 +148,13 @@ class WordEncoder:
             self._forget()
         split = [text.replace("\n", " ").split(" ") for text in texts]
         words = [word for own in split for word in own if word]
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        at = self._numbers(words)
         if self.known.new:
             new, self.known.new = self.known.new, set()
             self._learn(new)
-            for k in np.flatnonzero(at < 0).tolist():
-                at[k] = self.known[words[k]]
-        flat, starts = np.array(self.flat, "<u4"), np.array(self.starts, np.int64)
-        sizes = starts[at + 1] - starts[at]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        ids = flat[np.repeat(starts[at] - ends[:-1], sizes) + np.arange(ends[-1])]
+            late = np.flatnonzero(at < 0)
+            at[late] = self._numbers([words[k] for k in late.tolist()])
+        ids, ends = self._gather(at)
         cuts = ends[np.concatenate([[0], np.cumsum([len(own) - own.count("") for own in split])])]
         return [np.append(ids[a:b], np.uint32(end)).astype("<u4") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
