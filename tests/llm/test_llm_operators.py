@@ -455,6 +455,51 @@ def test_language_model_counts(docs, none):
     assert pitman_yor.score(none, 7, 2).count() == 0
 
 
+def test_order_of_words_changes_a_score(spark):
+    rng = random.Random(3)
+    follow = {w: rng.sample(range(60), 3) for w in range(60)}
+
+    def walk(n):
+        at, out = 0, []
+        for _ in range(n):
+            at = rng.choice(follow[at])
+            out.append(f"w{at}")
+        return out
+
+    held = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    rows, pairs = [(i, " ".join(walk(40))) for i in range(2000) if i not in set(held)], []
+    for a, b in zip(held[::2], held[1::2], strict=False):
+        text = walk(40)
+        rows += [(a, " ".join(text)), (b, " ".join(rng.sample(text, 40)))]
+        pairs.append((a, b))
+    found = pitman_yor.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id"), 7, 2)
+    found = {r["doc_id"]: r for r in found.collect()}
+    for a, b in pairs:
+        assert found[a]["base_score"] == pytest.approx(found[b]["base_score"])
+        assert found[a]["score"] > found[b]["score"] + 10
+    # Three equally likely words follow each: their logarithm, and little more.
+    per_token = np.mean([found[a]["score"] for a, _ in pairs]) / 40
+    assert np.log10(1 / 3) - 0.1 < per_token < np.log10(1 / 3)
+
+
+def test_pairs_of_a_chunk():
+    texts = [b"a b a c", b"b a b", b"", b"c a b x"]
+    numbers, tokens, buckets = pitman_yor.WordNumbers(), [], 3
+    for t in texts:
+        tokens.append([numbers[w] for w in [*t.split(), b"\n"]])
+    words, flat = list(numbers), np.array(sum(tokens, []))
+    where = pitman_yor.word_buckets(words, buckets)
+    places = {b: np.arange((where == b).sum()) for b in range(buckets)}
+    pairs = pitman_yor.ChunkPairs(words, flat, places, buckets)
+    found = [(words[u], words[w]) for u, w in zip(pairs.first, pairs.second, strict=True)]
+    told = [found[k] for k in pairs.pair]
+    assert told == [p for t in texts for p in zip([b"\n", *t.split()], [*t.split(), b"\n"], strict=True)]
+    assert len(set(found)) == len(found)
+    order = [(where[w], pairs.place[w], pairs.number[u]) for u, w in zip(pairs.first, pairs.second, strict=True)]
+    assert order == sorted(order)
+    assert (np.diff(pairs.cuts) == np.bincount(where[pairs.second], minlength=buckets)).all()
+
+
 def test_letter_model_is_a_distribution():
     words = [b"ab", b"abc", b"b", b"abab", b"\n"] * 3
     keys, times = np.unique(pitman_yor.Letters(words).keys(4), return_counts=True)

@@ -210,6 +210,30 @@ class WordNumbers(dict):
         return found
 
 
+def squeeze(values: np.ndarray) -> bytes:
+    """Numbers as packed bytes: bytes of equal weight together are shorter when packed."""
+    import zstandard
+
+    values = np.ascontiguousarray(values)
+    return zstandard.ZstdCompressor(1).compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
+
+
+def expand(blob: bytes, kind) -> np.ndarray:
+    import zstandard
+
+    kind = np.dtype(kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    return planes.reshape(kind.itemsize, -1).T.copy().view(kind)[:, 0]
+
+
+def squeeze_rising(values: np.ndarray) -> bytes:
+    return squeeze(np.diff(values, prepend=0).astype(np.uint32))
+
+
+def expand_rising(blob: bytes) -> np.ndarray:
+    return np.cumsum(expand(blob, np.uint32).astype(np.int64))
+
+
 STATE = pa.schema(
     [
         ("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
@@ -224,17 +248,13 @@ STATE_SQL = (
 
 def _chunk_task(by: int, remainder: int):
     """Chunks of documents: their words once, and each document as numbers of words."""
-    import zstandard
-
     def closed(first: int, held: list, numbers: WordNumbers):
         tokens = np.concatenate([t for _, _, t in held])
         train = np.concatenate([t for _, out, t in held if not out] or [np.empty(0, np.int32)])
         counts = np.bincount(train, minlength=len(numbers)).astype(np.int64)
-        # Bytes of equal weight together are shorter when packed.
-        planes = tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
         return (
             first, [d for d, _, _ in held], [o for _, o, _ in held], [len(t) for _, _, t in held],
-            join_words(list(numbers)), counts.tobytes(), zstandard.ZstdCompressor(3).compress(planes),
+            join_words(list(numbers)), counts.tobytes(), squeeze(tokens.astype(np.uint32)),
         )
 
     def run(batches):
@@ -279,102 +299,318 @@ def _send_task(buckets: int):
     return run
 
 
-TYPES = (
-    "bucket int, words binary, counts binary, chunks array<long>, places array<binary>, n long, v long, "
-    "once long, twice long"
-)
+TYPES = "bucket int, words binary, counts binary, chunks array<long>, places array<binary>, n long, v long"
 
 
 def _types_group(group: pa.Table) -> pa.Table:
-    """The distinct words of a bucket with their counts, and where each chunk's words stand there."""
-    numbers, places, sums = WordNumbers(), [], []
+    """The distinct words of a bucket, frequent ones first, and where each chunk's words stand there."""
+    group, numbers, found = group.sort_by("chunk"), WordNumbers(), []
     for blob, counts in zip(group["words"].to_pylist(), group["counts"].to_pylist(), strict=True):
         at = np.fromiter(map(numbers.__getitem__, split_words(blob)), np.int32)
-        places.append(at.tobytes())
-        sums.append((at, np.frombuffer(counts, np.int64)))
+        found.append((at, np.frombuffer(counts, np.int64)))
     total = np.zeros(len(numbers), np.int64)
-    for at, counts in sums:
+    for at, counts in found:
         total[at] += counts
+    order, words = np.argsort(-total, kind="stable"), list(numbers)
+    places = np.argsort(order).astype(np.uint32)
     return pa.table(
         {
             "bucket": pa.array([group["bucket"][0].as_py()], pa.int32()),
-            "words": pa.array([join_words(list(numbers))], pa.binary()),
-            "counts": pa.array([total.tobytes()], pa.binary()),
+            "words": pa.array([join_words([words[k] for k in order.tolist()])], pa.binary()),
+            "counts": pa.array([squeeze(total[order])], pa.binary()),
             "chunks": pa.array([group["chunk"].to_pylist()], pa.list_(pa.int64())),
-            "places": pa.array([places], pa.list_(pa.binary())),
+            "places": pa.array([[squeeze(places[at]) for at, _ in found]], pa.list_(pa.binary())),
             "n": pa.array([int(total.sum())], pa.int64()),
             "v": pa.array([int((total > 0).sum())], pa.int64()),
-            "once": pa.array([int((total == 1).sum())], pa.int64()),
-            "twice": pa.array([int((total == 2).sum())], pa.int64()),
         }
     )
 
 
+def _ids_task(batches):
+    """To each chunk, the places of its words in a bucket."""
+    schema = pa.schema([("chunk", pa.int64()), ("from_bucket", pa.int32()), ("places", pa.binary())])
+    for batch in batches:
+        for bucket, chunks, places in zip(*(one_of(c, batch) for c in ("bucket", "chunks", "places")), strict=True):
+            yield from rows_of(schema, ((c, bucket, p) for c, p in zip(chunks, places, strict=True)), 20)
+
+
+class ChunkPairs:
+    """The distinct pairs of neighbours in a chunk, by the bucket and place of the second word
+    and then the number of the first. What stands before a text's first word is an end token.
+    """
+
+    def __init__(self, words: list[bytes], tokens: np.ndarray, places: dict[int, np.ndarray], buckets: int):
+        where, own = word_buckets(words, buckets), np.zeros(len(words), np.int64)
+        for b, p in places.items():
+            own[where == b] = p
+        self.bucket, self.place, self.number = where, own, own * buckets + where
+        by_place, by_number = np.lexsort((own, where)), np.argsort(self.number)
+        second, first = np.argsort(by_place), np.argsort(by_number)
+        before = np.concatenate([tokens[-1:], tokens[:-1]])  # each text ends with an end token
+        keys, self.pair = np.unique(second[tokens] * len(words) + first[before], return_inverse=True)
+        self.second, self.first = by_place[keys // len(words)], by_number[keys % len(words)]
+        #: The pairs of bucket b are those from cuts[b] to cuts[b + 1].
+        self.cuts = np.searchsorted(where[self.second], np.arange(buckets + 1))
+
+
+def _pairs_sent(buckets: int):
+    """Each chunk's pairs to the bucket of their second word, with their counts in training texts."""
+
+    def run(state: pa.Table, ids: pa.Table) -> pa.Table:
+        places = {b: expand(p, np.uint32) for b, p in zip(ids["from_bucket"].to_pylist(), ids["places"].to_pylist())}
+        out = {c: [] for c in ("bucket", "chunk", "places", "firsts", "times")}
+        for k in range(state.num_rows):
+            tokens = expand(state["tokens"][k].as_py(), np.uint32).astype(np.int64)
+            pairs = ChunkPairs(split_words(state["words"][k].as_py()), tokens, places, buckets)
+            train = np.repeat(~np.array(state["held"][k].as_py(), bool), state["sizes"][k].as_py())
+            times = np.bincount(pairs.pair[train], minlength=len(pairs.second))
+            for b in np.flatnonzero(np.diff(pairs.cuts)).tolist():
+                own = slice(pairs.cuts[b], pairs.cuts[b + 1])
+                out["bucket"].append(b)
+                out["chunk"].append(state["chunk"][k].as_py())
+                out["places"].append(squeeze_rising(pairs.place[pairs.second[own]]))
+                out["firsts"].append(squeeze(pairs.number[pairs.first[own]].astype(np.uint32)))
+                out["times"].append(squeeze(times[own].astype(np.uint32)))
+        kinds = {"bucket": pa.int32(), "chunk": pa.int64()}
+        return pa.table({c: pa.array(x, kinds.get(c, pa.binary())) for c, x in out.items()})
+
+    return run
+
+
+PAIRS = (
+    "bucket int, words binary, counts binary, chunks array<long>, places array<binary>, at array<binary>, "
+    "firsts binary, times binary, kinds binary, many_seconds binary, many_firsts binary, many_times binary, "
+    "pairs long, once long, twice long, kinds_once long, kinds_twice long"
+)
+
+
+def _pairs_group(sent: pa.Table, types: pa.Table) -> pa.Table:
+    """The distinct pairs of a bucket with their counts, where each chunk's pairs stand there, of
+    how many kinds each word's first words are, and once more the pairs that occur more than once."""
+    sent = sent.sort_by("chunk")
+    keys = [
+        (expand_rising(p) << 32) | expand(f, np.uint32).astype(np.int64)
+        for p, f in zip(sent["places"].to_pylist(), sent["firsts"].to_pylist(), strict=True)
+    ]
+    whole = np.unique(np.concatenate(keys))
+    at, times = [np.searchsorted(whole, k) for k in keys], np.zeros(len(whole), np.int64)
+    for own, t in zip(at, sent["times"].to_pylist(), strict=True):
+        times[own] += expand(t, np.uint32)
+    seconds, firsts = whole >> 32, whole & 0xFFFFFFFF
+    n_words = len(split_words(types["words"][0].as_py()))
+    kinds, many = np.bincount(seconds[times > 0], minlength=n_words), times > 1
+    longs = {
+        "pairs": (times > 0).sum(), "once": (times == 1).sum(), "twice": (times == 2).sum(),
+        "kinds_once": (kinds == 1).sum(), "kinds_twice": (kinds == 2).sum(),
+    }
+    blobs = {
+        "firsts": squeeze(firsts.astype(np.uint32)), "times": squeeze(times), "kinds": squeeze(kinds),
+        "many_seconds": squeeze_rising(seconds[many]), "many_firsts": squeeze(firsts[many].astype(np.uint32)),
+        "many_times": squeeze(times[many]),
+    }
+    return pa.table(
+        {c: types[c] for c in ("bucket", "words", "counts", "chunks", "places")}
+        | {"at": pa.array([[squeeze_rising(a) for a in at]], pa.list_(pa.binary()))}
+        | {c: pa.array([x], pa.binary()) for c, x in blobs.items()}
+        | {c: pa.array([int(x)], pa.int64()) for c, x in longs.items()}
+    )
+
+
+#: What buckets send each other; a negative source is a bucket's word to itself.
+SENT = pa.schema(
+    [("bucket", pa.int32()), ("source", pa.int32())]
+    + [(c, pa.binary()) for c in ("a", "b", "c", "d", "words")]
+    + [(c, pa.float64()) for c in ("customers", "tables", "known")]
+)
+SENT_SQL = (
+    "bucket int, source int, a binary, b binary, c binary, d binary, words binary, customers double, "
+    "tables double, known double"
+)
+SEATED, OPENED = -1, -2
+
+
+def sent(*rows: tuple) -> pa.Table:
+    full = [(*r, *[None] * (len(SENT) - len(r))) for r in rows]
+    return pa.Table.from_batches(rows_of(SENT, full), SENT)
+
+
+def by_home(firsts: np.ndarray, buckets: int):
+    """Sorted word numbers as (bucket, where they stand in the array, their places in the bucket)."""
+    homes = firsts % buckets
+    order = np.argsort(homes, kind="stable")
+    cuts = np.searchsorted(homes[order], np.arange(buckets + 1))
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
+        own = order[cuts[b] : cuts[b + 1]]
+        yield b, own, firsts[own] // buckets
+
+
+def _kinds_task(buckets: int):
+    """To the bucket of each first word: how many kinds of words follow it here, and whether its
+    tables are asked for here, since one of its pairs occurs more than once."""
+
+    def run(batches):
+        for batch in batches:
+            for bucket, firsts, times in zip(*(one_of(c, batch) for c in ("bucket", "firsts", "times")), strict=True):
+                firsts, times = expand(firsts, np.uint32).astype(np.int64), expand(times, np.int64)
+                known, at = np.unique(firsts[times > 0], return_inverse=True)
+                kinds, asked = np.bincount(at), np.bincount(at, times[times > 0] > 1) > 0
+                rows = (
+                    (b, bucket, squeeze_rising(p), squeeze(kinds[own].astype(np.uint32)), squeeze_rising(p[asked[own]]))
+                    for b, own, p in by_home(known, buckets)
+                )
+                for row in rows:
+                    yield from sent(row).to_batches()
+
+    return run
+
+
+CONTEXTS = "bucket int, kinds binary, sources array<int>, asked array<binary>"
+
+
+def _contexts_group(group: pa.Table) -> pa.Table:
+    """How many kinds of words follow each word of a bucket, and who asks for its tables."""
+    group = group.sort_by("source")
+    places = [expand_rising(a) for a in group["a"].to_pylist()]
+    kinds = np.zeros(max(int(p[-1]) for p in places) + 1)
+    for p, k in zip(places, group["b"].to_pylist(), strict=True):
+        kinds[p] += expand(k, np.uint32)
+    return pa.table(
+        {
+            "bucket": pa.array([group["bucket"][0].as_py()], pa.int32()),
+            "kinds": pa.array([squeeze(kinds)], pa.binary()),
+            "sources": pa.array([group["source"].to_pylist()], pa.list_(pa.int32())),
+            "asked": pa.array([group["c"].to_pylist()], pa.list_(pa.binary())),
+        }
+    )
+
+
+def _tables_told(last: bool):
+    """The tables of each context: one for each kind of word that follows, and those opened beyond
+    that. Told to all who asked, or at last to the bucket of the context alone."""
+
+    def run(contexts: pa.Table, opened: pa.Table) -> pa.Table:
+        if not contexts.num_rows:
+            return sent()
+        bucket, tables = contexts["bucket"][0].as_py(), expand(contexts["kinds"][0].as_py(), np.float64)
+        opened = opened.sort_by("source")
+        for p, more in zip(opened["a"].to_pylist(), opened["b"].to_pylist(), strict=True):
+            tables[expand_rising(p)] += expand(more, np.float64)
+        if last:
+            return sent((bucket, OPENED, squeeze(tables)))
+        asked = zip(contexts["sources"][0].as_py(), contexts["asked"][0].as_py(), strict=True)
+        return sent(*[(source, bucket, squeeze(tables[expand_rising(p)])) for source, p in asked])
+
+    return run
+
+
 def _letters_task(batches):
-    """Customers of the longest letter contexts: one for each word of the training texts."""
+    """Customers of the longest letter contexts: a word's tables, each of which drew it from the letters."""
     schema = pa.schema([("key", pa.int64()), ("customers", pa.int64())])
     for batch in batches:
-        for blob, counts in zip(one_of("words", batch), one_of("counts", batch), strict=True):
-            seen = np.frombuffer(counts, np.int64) > 0
-            words = [w for w, s in zip(split_words(blob), seen.tolist(), strict=True) if s]
+        for blob, tables in zip(one_of("words", batch), one_of("b", batch), strict=True):
+            tables = expand(tables, np.float64).astype(np.int64)
+            words = [w for w, t in zip(split_words(blob), tables.tolist(), strict=True) if t]
             if not words:
                 continue
-            keys, times = np.unique(Letters(words).keys(len(CONTEXT_BITS)), return_counts=True)
+            letters = Letters(words)
+            keys, at = np.unique(letters.keys(len(CONTEXT_BITS)), return_inverse=True)
+            times = np.bincount(at, np.repeat(tables[tables > 0], np.diff(letters.starts)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(times, pa.int64())], schema=schema
+                [pa.array(keys, pa.int64()), pa.array(times.astype(np.int64), pa.int64())], schema=schema
             )
 
 
-def _seat_task(model, tables: float, discount: float, strength: float, sweeps: int):
-    """What the letter model gives each word, and the mean of its sampled tables."""
-    schema = pa.schema(
-        [
-            ("bucket", pa.int32()), ("letters", pa.binary()), ("tables", pa.binary()), ("t", pa.float64()),
-            ("known", pa.float64()),
-        ]
-    )
-
-    def run(batches):
-        for batch in batches:
-            for bucket, blob, counts in zip(*(one_of(c, batch) for c in ("bucket", "words", "counts")), strict=True):
-                letters = model.value.log_words(split_words(blob))
-                customers, random = np.frombuffer(counts, np.int64).astype(np.float64), np.random.default_rng(bucket)
-                base, mean = np.exp(letters), np.zeros(len(customers))
-                for _ in range(sweeps):
-                    mean += draw_tables(
-                        customers, base, np.full(len(base), strength + discount * tables), discount, random
-                    )
-                mean /= sweeps
-                known = float(base[customers > 0].sum())
-                yield from rows_of(schema, [(bucket, letters.tobytes(), mean.tobytes(), float(mean.sum()), known)])
+def _first_seats(batches):
+    """Before any sweep each word of the training texts has one table."""
+    for batch in batches:
+        for bucket, words, counts, kinds in zip(
+            *(one_of(c, batch) for c in ("bucket", "words", "counts", "kinds")), strict=True
+        ):
+            tables = (expand(counts, np.int64) > 0).astype(np.float64)
+            customers = expand(kinds, np.int64).astype(np.float64)
+            yield from sent((bucket, SEATED, squeeze(customers), squeeze(tables), None, None, words)).to_batches()
+
+
+def _seat_groups(model, buckets: int, totals: tuple, discounts: tuple, strength: float, sweeps: int, first: int, mean: bool):
+    """Sweeps over a bucket's words: the tables of each of its pairs are drawn anew, given what the
+    restaurant of all words predicts and the other tables of the context; they are the word's customers
+    there, whose tables are drawn in turn, given the letters. Row SEATED: customers, tables, tables of the
+    pairs, and the letters' probability of each word, the last sample or sums (``mean``); other rows
+    tell the tables opened in each context beyond the first of each kind."""
+    all_customers, all_tables = totals
+    pair_discount, discount = discounts
+
+    def run(pairs: pa.Table, told: pa.Table) -> pa.Table:
+        bucket, words = pairs["bucket"][0].as_py(), pairs["words"][0].as_py()
+        kinds = expand(pairs["kinds"][0].as_py(), np.int64)
+        seconds, firsts = expand_rising(pairs["many_seconds"][0].as_py()), pairs["many_firsts"][0].as_py()
+        firsts, times = expand(firsts, np.uint32).astype(np.int64), expand(pairs["many_times"][0].as_py(), np.int64)
+        known, context = np.unique(firsts, return_inverse=True)
+        told = {s: (a, b) for s, a, b in zip(*(told[c].to_pylist() for c in ("source", "a", "b")), strict=True)}
+        customers, tables = (expand(x, np.float64) for x in told[SEATED])
+        context_tables = np.zeros(len(known))
+        for b, own, _ in by_home(known, buckets):
+            context_tables[own] = expand(told[b][0], np.float64)
+        base = np.exp(model.value.log_words(split_words(words)))
+        sums = [np.zeros(len(kinds)), np.zeros(len(kinds)), np.zeros(len(times))]
+        for sweep in range(first, first + sweeps):
+            random = np.random.default_rng((bucket, sweep))
+            rest = (strength + discount * all_tables) / (strength + all_customers)
+            p = np.maximum(customers - discount * tables, 0) / (strength + all_customers) + rest * base
+            part = strength + pair_discount * context_tables
+            seats = draw_tables(times, p[seconds], part[context], pair_discount, random)
+            customers = kinds + np.bincount(seconds, seats - 1, len(kinds))
+            new = np.full(len(kinds), strength + discount * all_tables)
+            tables = draw_tables(customers, base, new, discount, random)
+            sums = [x + now if mean else now for x, now in zip(sums, (customers, tables, seats), strict=True)]
+        customers, tables, seats = (x / (sweeps if mean else 1) for x in sums)
+        more = np.bincount(context, seats - 1, len(known))
+        opened = np.flatnonzero(more)
+        return sent(
+            (
+                bucket, SEATED, squeeze(customers), squeeze(tables), squeeze(seats), squeeze(base), words,
+                float(customers.sum()), float(tables.sum()), float(base[kinds > 0].sum()),
+            ),
+            *[(b, bucket, squeeze_rising(p), squeeze(more[opened[own]])) for b, own, p in by_home(known[opened], buckets)],
+        )
 
     return run
 
 
-def _answer_groups(total: float, tables: float, unseen: float, discount: float, strength: float):
-    """Log probabilities and counts of each chunk's words in a bucket."""
-
-    def run(types: pa.Table, seated: pa.Table) -> pa.Table:
-        chunks, buckets, logs, counts = [], [], [], []
-        for k in range(types.num_rows):
-            own = np.frombuffer(types["counts"][k].as_py(), np.int64)
-            letters = np.frombuffer(seated["letters"][k].as_py())
-            seats = np.frombuffer(seated["tables"][k].as_py())
-            rest = (strength + discount * tables) / (strength + total)
-            p = np.maximum(own - discount * seats, 0) / (strength + total) + rest * np.exp(letters)
-            p = np.log10(np.where(own > 0, p, rest * unseen))
-            for chunk, places in zip(types["chunks"][k].as_py(), types["places"][k].as_py(), strict=True):
-                at = np.frombuffer(places, np.int32)
-                chunks.append(chunk)
-                buckets.append(types["bucket"][k].as_py())
-                logs.append(p[at].tobytes())
-                counts.append(own[at].tobytes())
-        return pa.table(
-            {
-                "chunk": pa.array(chunks, pa.int64()), "from_bucket": pa.array(buckets, pa.int32()),
-                "logs": pa.array(logs, pa.binary()), "found": pa.array(counts, pa.binary()),
-            }
-        )
+def _answer_groups(totals: tuple, unseen: float, discounts: tuple, strength: float):
+    """To each chunk, for its words in a bucket: their places, counts, probabilities without a context and
+    tables as a context; for its pairs there, what their own tables give them, times all customers."""
+    all_customers, all_tables = totals
+    pair_discount, discount = discounts
+
+    def run(pairs: pa.Table, told: pa.Table) -> pa.Table:
+        out = {c: [] for c in ("chunk", "from_bucket", "places", "counts", "p", "tables", "dishes")}
+        row = {c: pairs[c][0].as_py() for c in pairs.column_names}
+        counts, times = expand(row["counts"], np.int64), expand(row["times"], np.int64)
+        told = {r["source"]: r for r in told.to_pylist()}
+        customers, tables, seats, base = (
+            expand(told[SEATED][c], np.float64) for c in ("a", "b", "c", "d")
+        )
+        opened = np.zeros(len(counts))
+        if OPENED in told:
+            own = expand(told[OPENED]["a"], np.float64)
+            opened[: len(own)] = own
+        rest = (strength + discount * all_tables) / (strength + all_customers)
+        p = np.maximum(customers - discount * tables, 0) / (strength + all_customers) + rest * base
+        p = np.where(counts > 0, p, rest * unseen)
+        dishes = times - pair_discount * (times > 0)
+        dishes[times > 1] = times[times > 1] - pair_discount * seats
+        for chunk, places, at in zip(row["chunks"], row["places"], row["at"], strict=True):
+            own = expand(places, np.uint32)
+            out["chunk"].append(chunk)
+            out["from_bucket"].append(row["bucket"])
+            out["places"].append(places)
+            out["counts"].append(squeeze(counts[own]))
+            out["p"].append(squeeze(p[own].astype(np.float32)))
+            out["tables"].append(squeeze(opened[own]))
+            out["dishes"].append(squeeze(dishes[expand_rising(at)].astype(np.float32)))
+        kinds = {"chunk": pa.int64(), "from_bucket": pa.int32()}
+        return pa.table({c: pa.array(x, kinds.get(c, pa.binary())) for c, x in out.items()})
 
     return run
 
@@ -385,23 +621,24 @@ SCORED = (
 )
 
 
-def _score_groups(buckets: int, n: int, v: int):
+def _score_groups(buckets: int, n: int, v: int, discount: float, strength: float):
     def run(state: pa.Table, answers: pa.Table) -> pa.Table:
-        import zstandard
-
         out = {c.split()[0]: [] for c in SCORED.split(", ")}
-        found = {
-            b: (np.frombuffer(p), np.frombuffer(c, np.int64))
-            for b, p, c in zip(*(answers[c].to_pylist() for c in ("from_bucket", "logs", "found")), strict=True)
-        }
+        found = {r["from_bucket"]: r for r in answers.to_pylist()}
         for k in range(state.num_rows):
             words = split_words(state["words"][k].as_py())
-            where = word_buckets(words, buckets)
-            logs, counts = np.zeros(len(words)), np.zeros(len(words), np.int64)
-            for b, (p, c) in found.items():
-                logs[where == b], counts[where == b] = p, c
-            planes = zstandard.ZstdDecompressor().decompress(state["tokens"][k].as_py())
-            tokens = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
+            tokens = expand(state["tokens"][k].as_py(), np.uint32).astype(np.int64)
+            places = {b: expand(r["places"], np.uint32) for b, r in found.items()}
+            pairs = ChunkPairs(words, tokens, places, buckets)
+            counts, p, tables = np.zeros(len(words), np.int64), np.zeros(len(words)), np.zeros(len(words))
+            dishes = np.zeros(len(pairs.second))
+            for b, r in found.items():
+                own = pairs.bucket == b
+                counts[own], p[own] = expand(r["counts"], np.int64), expand(r["p"], np.float32)
+                tables[own] = expand(r["tables"], np.float64)
+                dishes[pairs.cuts[b] : pairs.cuts[b + 1]] = expand(r["dishes"], np.float32)
+            rest = (strength + discount * tables) / (strength + counts)
+            logs = np.log10(dishes / (strength + counts[pairs.first]) + rest[pairs.first] * p[pairs.second])
             base = np.log10((counts + 1) / (n + v + 1))
             sizes = state["sizes"][k].as_py()
             starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
@@ -411,13 +648,18 @@ def _score_groups(buckets: int, n: int, v: int):
             out["n_known"] += np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts).tolist()
             out["train_tokens"] += [n] * len(sizes)
             out["base_score"] += np.add.reduceat(base[tokens], starts).tolist()
-            out["score"] += np.add.reduceat(logs[tokens], starts).tolist()
+            out["score"] += np.add.reduceat(logs[pairs.pair], starts).tolist()
         kinds = {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}
         return pa.table({c: pa.array(out[c], kinds[t]) for c, t in (x.split() for x in SCORED.split(", "))})
 
     return run
 
 
+def usual_discount(once: int, twice: int, otherwise: float) -> float:
+    """The usual estimate of a discount, from how many kinds occur once and twice."""
+    return min(max(once / (once + 2 * twice), 0.1), 0.95) if once else otherwise
+
+
 def score(
     docs: DataFrame, by: int, remainder: int, discount: float = 0.6, strength: float = 1.0, sweeps: int = 6,
     burn: int = 3, key: str = "doc_id", text: str = "text",
@@ -435,32 +677,78 @@ def score(
         .applyInArrow(_types_group, TYPES),
         "word-types",
     )
-    totals = types.agg(F.sum("n"), F.sum("v"), F.sum("once"), F.sum("twice")).first()
-    n, v, once, twice = (x or 0 for x in totals)
-    # The usual estimate of a discount, from how many words occur once and twice.
-    word_discount = min(max(once / (once + 2 * twice), 0.1), 0.95) if once else discount
-    words = types.select("bucket", "words", "counts")
-    entries = words.mapInArrow(_letters_task, "key long, customers long")
-    table = entries.groupBy("key").agg(F.sum("customers").alias("customers")).toPandas()
-    letters = LetterModel(
-        table["key"].to_numpy(), table["customers"].to_numpy(), sweeps, burn, discount, strength
+    n, v = (x or 0 for x in types.agg(F.sum("n"), F.sum("v")).first())
+    ids = types.select("bucket", "chunks", "places").mapInArrow(
+        _ids_task, "chunk long, from_bucket int, places binary"
     )
-    model = spark.sparkContext.broadcast(letters)
-    seats = "bucket int, letters binary, tables binary, t double, known double"
+    neighbours = (
+        state.select("chunk", "held", "sizes", "words", "tokens")
+        .groupBy("chunk")
+        .cogroup(ids.groupBy("chunk"))
+        .applyInArrow(_pairs_sent(buckets), "bucket int, chunk long, places binary, firsts binary, times binary")
+    )
+    pairs = materialize(
+        neighbours.groupBy("bucket").cogroup(types.groupBy("bucket")).applyInArrow(_pairs_group, PAIRS), "word-pairs"
+    )
+    sums = pairs.agg(*[F.sum(c) for c in ("pairs", "once", "twice", "kinds_once", "kinds_twice")]).first()
+    n_pairs, once, twice, kinds_once, kinds_twice = (x or 0 for x in sums)
+    discounts = (usual_discount(once, twice, discount), usual_discount(kinds_once, kinds_twice, discount))
+    contexts = materialize(
+        pairs.select("bucket", "firsts", "times")
+        .mapInArrow(_kinds_task(buckets), SENT_SQL)
+        .groupBy("bucket")
+        .applyInArrow(_contexts_group, CONTEXTS),
+        "word-contexts",
+    )
+    to_seat = pairs.select("bucket", "words", "kinds", "many_seconds", "many_firsts", "many_times")
     seated = materialize(
-        words.mapInArrow(_seat_task(model, float(v), word_discount, strength, sweeps - burn), seats), "word-seats"
+        pairs.select("bucket", "words", "counts", "kinds").mapInArrow(_first_seats, SENT_SQL), "word-seats"
+    )
+    totals = (float(n_pairs), float(v))
+    # Contexts, the totals and the letters meet the words' new tables between the rounds.
+    for first, times, mean in ((0, burn, False), (burn, sweeps - burn, True)):
+        own = seated.filter(F.col("source") == SEATED)
+        table = (
+            own.mapInArrow(_letters_task, "key long, customers long")
+            .groupBy("key")
+            .agg(F.sum("customers").alias("customers"))
+            .toPandas()
+        )
+        letters = LetterModel(
+            table["key"].to_numpy(), table["customers"].to_numpy(), sweeps, burn, discount, strength
+        )
+        model = spark.sparkContext.broadcast(letters)
+        told = (
+            contexts.groupBy("bucket")
+            .cogroup(seated.filter(F.col("source") != SEATED).groupBy("bucket"))
+            .applyInArrow(_tables_told(False), SENT_SQL)
+        )
+        told = told.unionByName(own.withColumn("words", F.lit(None).cast("binary")))
+        seats = _seat_groups(model, buckets, totals, discounts, strength, times, first, mean)
+        seated = materialize(
+            to_seat.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(seats, SENT_SQL), "word-seats"
+        )
+        sums = seated.agg(F.sum("customers"), F.sum("tables"), F.sum("known")).first()
+        totals = (sums[0] or 0.0, sums[1] or 0.0)
+    told = (
+        contexts.groupBy("bucket")
+        .cogroup(seated.filter(F.col("source") != SEATED).groupBy("bucket"))
+        .applyInArrow(_tables_told(True), SENT_SQL)
+        .unionByName(seated.filter(F.col("source") == SEATED).withColumn("words", F.lit(None).cast("binary")))
     )
-    sums = seated.agg(F.sum("t"), F.sum("known")).first()
-    tables, unseen = sums[0] or 0.0, max(1.0 - (sums[1] or 0.0), 1e-9)
     answers = (
-        types.groupBy("bucket")
-        .cogroup(seated.groupBy("bucket"))
+        pairs.select("bucket", "counts", "chunks", "places", "at", "times")
+        .groupBy("bucket")
+        .cogroup(told.groupBy("bucket"))
         .applyInArrow(
-            _answer_groups(float(n), tables, unseen, word_discount, strength),
-            "chunk long, from_bucket int, logs binary, found binary",
+            _answer_groups(totals, max(1.0 - (sums[2] or 0.0), 1e-9), discounts, strength),
+            "chunk long, from_bucket int, places binary, counts binary, p binary, tables binary, dishes binary",
         )
     )
     scored = (
-        state.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score_groups(buckets, n, v), SCORED)
+        state.drop("counts")
+        .groupBy("chunk")
+        .cogroup(answers.groupBy("chunk"))
+        .applyInArrow(_score_groups(buckets, n, v, discounts[0], strength), SCORED)
     )
     return scored.withColumnRenamed("doc_id", key)
