@@ -189,12 +189,16 @@ class LetterModel:
 
 
 def join_words(words: list[bytes]) -> bytes:
-    """A list of words as one string: a blank between, which no word contains."""
-    return b" ".join(words)
+    """A list of words as one packed string: a blank between, which no word contains."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(3).compress(b" ".join(words)) if words else b""
 
 
 def split_words(blob: bytes) -> list[bytes]:
-    return blob.split(b" ") if blob else []
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(blob).split(b" ") if blob else []
 
 
 def word_buckets(words: list[bytes], buckets: int) -> np.ndarray:
@@ -215,7 +219,7 @@ def squeeze(values: np.ndarray) -> bytes:
     import zstandard
 
     values = np.ascontiguousarray(values)
-    return zstandard.ZstdCompressor(1).compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
+    return zstandard.ZstdCompressor(3).compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
 
 
 def expand(blob: bytes, kind) -> np.ndarray:
@@ -254,7 +258,7 @@ def _chunk_task(by: int, remainder: int):
         counts = np.bincount(train, minlength=len(numbers)).astype(np.int64)
         return (
             first, [d for d, _, _ in held], [o for _, o, _ in held], [len(t) for _, _, t in held],
-            join_words(list(numbers)), counts.tobytes(), squeeze(tokens.astype(np.uint32)),
+            join_words(list(numbers)), squeeze(counts), squeeze(tokens.astype(np.uint32)),
         )
 
     def run(batches):
@@ -284,12 +288,12 @@ def _send_task(buckets: int):
     def run(batches):
         for batch in batches:
             for chunk, blob, counts in zip(*(one_of(c, batch) for c in ("chunk", "words", "counts")), strict=True):
-                words, times = split_words(blob), np.frombuffer(counts, np.int64)
+                words, times = split_words(blob), expand(counts, np.int64)
                 where = word_buckets(words, buckets)
                 order = np.argsort(where, kind="stable")
                 cuts = np.searchsorted(where[order], np.arange(buckets + 1))
                 rows = (
-                    (b, chunk, join_words([words[i] for i in own]), times[own].tobytes())
+                    (b, chunk, join_words([words[i] for i in own]), squeeze(times[own]))
                     for b in range(buckets)
                     for own in [order[cuts[b] : cuts[b + 1]]]
                     if len(own)
@@ -307,7 +311,7 @@ def _types_group(group: pa.Table) -> pa.Table:
     group, numbers, found = group.sort_by("chunk"), WordNumbers(), []
     for blob, counts in zip(group["words"].to_pylist(), group["counts"].to_pylist(), strict=True):
         at = np.fromiter(map(numbers.__getitem__, split_words(blob)), np.int32)
-        found.append((at, np.frombuffer(counts, np.int64)))
+        found.append((at, expand(counts, np.int64)))
     total = np.zeros(len(numbers), np.int64)
     for at, counts in found:
         total[at] += counts
@@ -534,9 +538,9 @@ def _first_seats(batches):
 def _seat_groups(model, buckets: int, totals: tuple, discounts: tuple, strength: float, sweeps: int, first: int, mean: bool):
     """Sweeps over a bucket's words: the tables of each of its pairs are drawn anew, given what the
     restaurant of all words predicts and the other tables of the context; they are the word's customers
-    there, whose tables are drawn in turn, given the letters. Row SEATED: customers, tables, tables of the
-    pairs, and the letters' probability of each word, the last sample or sums (``mean``); other rows
-    tell the tables opened in each context beyond the first of each kind."""
+    there, whose tables are drawn in turn, given the letters. Row SEATED: customers and tables of the last
+    sweep with the words, or means over the sweeps with the tables of the pairs and the letters' probability
+    of each word (``mean``); other rows tell the tables opened in each context beyond the first of each kind."""
     all_customers, all_tables = totals
     pair_discount, discount = discounts
 
@@ -568,7 +572,8 @@ def _seat_groups(model, buckets: int, totals: tuple, discounts: tuple, strength:
         opened = np.flatnonzero(more)
         return sent(
             (
-                bucket, SEATED, squeeze(customers), squeeze(tables), squeeze(seats), squeeze(base), words,
+                bucket, SEATED, squeeze(customers), squeeze(tables), squeeze(seats) if mean else None,
+                squeeze(base.astype(np.float32)) if mean else None, None if mean else words,
                 float(customers.sum()), float(tables.sum()), float(base[kinds > 0].sum()),
             ),
             *[(b, bucket, squeeze_rising(p), squeeze(more[opened[own]])) for b, own, p in by_home(known[opened], buckets)],
@@ -588,9 +593,8 @@ def _answer_groups(totals: tuple, unseen: float, discounts: tuple, strength: flo
         row = {c: pairs[c][0].as_py() for c in pairs.column_names}
         counts, times = expand(row["counts"], np.int64), expand(row["times"], np.int64)
         told = {r["source"]: r for r in told.to_pylist()}
-        customers, tables, seats, base = (
-            expand(told[SEATED][c], np.float64) for c in ("a", "b", "c", "d")
-        )
+        customers, tables, seats = (expand(told[SEATED][c], np.float64) for c in ("a", "b", "c"))
+        base = expand(told[SEATED]["d"], np.float32).astype(np.float64)
         opened = np.zeros(len(counts))
         if OPENED in told:
             own = expand(told[OPENED]["a"], np.float64)
