@@ -1,21 +1,28 @@
 """A nested hierarchical Pitman-Yor language model of words and their letters.
 
-A text is its lower-cased words and one end token. Words are customers of one restaurant
-whose base is a letter model. All words never seen are one class, as they are one entry
+A text is its lower-cased words and one end token. A word is a customer of the restaurant of
+the word before it (an end token before the first word), whose base is one restaurant of all
+words, whose base is a letter model. All words never seen are one class, as they are one entry
 of the unigram base: its probability is what the letter model leaves to them. The letter
 model is a hierarchy of restaurants: one for each context of up to four symbols before a
 letter within the word, whose parent is the context without its farthest symbol, and so up
-to a root over all symbols; the tables of a restaurant are the customers of its parent.
-Tables are seated by the Chinese restaurant process and sampled again, sweep after sweep,
-by Gibbs: given its customers and what its parent predicts, each dish's tables are drawn
-anew. Predictions are averaged over the sweeps after the first few.
-
-Work is split by words, not rows: each chunk of documents sends its distinct words with
-their counts to the words' buckets, and gets their probabilities back, so a word that makes
-up a third of all tokens is one entry per chunk. All words of the corpus are counted; what
-is gathered grows with it. The letter contexts are made of symbol classes (6, 6, 6 and 4
-bits), so the letter model has at most 2^22 contexts whatever the input and is drawn in
-one place.
+to a root over all symbols. At every level the tables of a restaurant are the customers of
+its parent. Tables are seated by the Chinese restaurant process and sampled again, sweep after
+sweep, by Gibbs: given its customers and what its parent predicts, each dish's tables are drawn
+anew. A restaurant's part of a prediction is averaged over the sweeps after the first few.
+
+Sweeps come in two rounds: within a round a bucket of words sweeps alone, and the tables of each
+context, all tables and customers of words, and the letters (whose customers are the words'
+sampled tables) are those of the round before, as they stand in other buckets. A pair that
+occurs once has one table whatever is drawn, so only the others take part.
+
+Work is split by words, not rows: each chunk of documents sends its distinct words, and then its
+distinct pairs, with their counts to the buckets of the words (a pair's is its second word's, so
+the pairs of a hot context are spread), and gets their parts back; a pair that makes up a third
+of all tokens is one entry per chunk. All words and pairs are counted; what is gathered grows
+with them. Words have exact numbers, below 2^32, not hashes. The letter contexts are made of
+symbol classes (6, 6, 6 and 4 bits), so the letter model has at most 2^22 contexts whatever the
+input and is drawn in one place.
 
 Defined cases: a null or empty text is the end token alone; repeated rows are scored alike;
 null ids count as held out or not by the text "" and stay null; without any training text
