@@ -4,11 +4,14 @@ import hashlib
 import itertools
 import random
 import sys
+import types as types_module
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import regex
 import tiktoken
@@ -500,6 +503,44 @@ def test_pairs_of_a_chunk():
     assert (np.diff(pairs.cuts) == np.bincount(where[pairs.second], minlength=buckets)).all()
 
 
+def test_probabilities_after_a_word_sum_to_one():
+    rng, m = random.Random(8), pitman_yor
+    texts = [" ".join(rng.choices("abcdefghij", k=12)) for _ in range(30)]
+    batches = [pa.RecordBatch.from_pydict({"row": range(30), "doc_id": range(30), "text": texts})]
+
+    def table(found):
+        return pa.Table.from_batches(list(found))
+
+    state = table(m._chunk_task(7, 2)(batches))
+    types = m._types_group(table(m._send_task(1)(state.to_batches())))
+    pairs = m._pairs_group(m._pairs_sent(1)(state, table(m._ids_task(types.to_batches()))), types)
+    contexts = m._contexts_group(table(m._kinds_task(1)(pairs.to_batches())))
+    seated, totals, discounts = table(m._first_seats(pairs.to_batches())), (float(pairs["pairs"][0].as_py()), 11.0), (0.7, 0.5)
+    for first, mean in ((0, False), (3, True)):
+        own = seated.filter(pc.equal(seated["source"], m.SEATED))
+        opened = seated.filter(pc.not_equal(seated["source"], m.SEATED))
+        entries = table(m._letters_task(own.to_batches()))
+        model = types_module.SimpleNamespace(value=m.LetterModel(entries["key"].to_numpy(), entries["customers"].to_numpy()))
+        told = pa.concat_tables([m._tables_told(False)(contexts, opened), own])
+        seated = m._seat_groups(model, 1, totals, discounts, 1.0, 3, first, mean)(pairs, told)
+        totals = (pc.sum(seated["customers"]).as_py(), pc.sum(seated["tables"]).as_py())
+    assert totals[1] >= 11 and totals[0] > pairs["pairs"][0].as_py()  # some tables were opened beyond the first
+    opened = seated.filter(pc.not_equal(seated["source"], m.SEATED))
+    own = seated.filter(pc.equal(seated["source"], m.SEATED))
+    told, unseen = pa.concat_tables([m._tables_told(True)(contexts, opened), own]), 1 - pc.sum(seated["known"]).as_py()
+    answer = {c: x[0] for c, x in m._answer_groups(totals, unseen, discounts, 1.0)(pairs, told).to_pydict().items()}
+    counts, p, tables = m.expand(answer["counts"], np.int64), m.expand(answer["p"], np.float32), m.expand(answer["tables"], "f8")
+    dishes, words = m.expand(answer["dishes"], np.float32), m.split_words(state["words"][0].as_py())
+    chunk = m.ChunkPairs(
+        words, m.expand(state["tokens"][0].as_py(), np.uint32).astype(np.int64), {0: m.expand(answer["places"], np.uint32)}, 1
+    )
+    new = (1 + 0.5 * totals[1]) / (1 + totals[0]) * unseen
+    assert p.sum() + new == pytest.approx(1, abs=1e-5)
+    for u in range(len(words)):
+        rest = (1 + 0.7 * tables[u]) / (1 + counts[u])
+        assert dishes[chunk.first == u].sum() / (1 + counts[u]) + rest * (p.sum() + new) == pytest.approx(1, abs=1e-5)
+
+
 def test_letter_model_is_a_distribution():
     words = [b"ab", b"abc", b"b", b"abab", b"\n"] * 3
     keys, times = np.unique(pitman_yor.Letters(words).keys(4), return_counts=True)
