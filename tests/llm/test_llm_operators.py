@@ -259,6 +259,42 @@ def test_new_words_are_learned_together():
     assert [f.tolist() for f in packing.WordEncoder(path).encode(["", " \n"], 2)] == [[2], [2]]
 
 
+def test_forms_of_a_word_share_its_letters():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), packing.WordEncoder(path)
+    library.encode_special_tokens = True
+    rng = random.Random(6)
+    letters = ["".join(rng.choices("abcdeéñ", k=6)) for _ in range(200)]
+    forms = [form(w) + tail for w in letters for form in (str, str.title, str.upper) for tail in ("", ".", ",", "|", "!!", "7")]
+    rng.shuffle(forms)
+    texts = [" ".join(forms[k : k + 900]) for k in range(0, len(forms), 900)]
+    texts += ["x\tY\r\nz", "aK. \u0301a A\u0301.b", "×É ÷.Ÿ étĘ", "don't. DON'T", "É", "É.b", ""]
+    calls = Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([frame.f_code.co_name] if event == "call" else []))
+    try:
+        found = own.encode(texts, 2)
+    finally:
+        sys.setprofile(None)
+    assert [f.tolist() for f in found] == [[*library.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    # Remembered are runs of letters, not each of their eighteen forms, and no call is made for a word.
+    assert len(own.known) < len(letters) + 50, len(own.known)
+    assert calls.total() < len(letters), calls
+
+
+def test_packing_is_the_same_for_any_share_of_texts(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([5] * len(TEXTS)), pa.array([i for i, _ in TEXTS]), pa.array([t or "" for _, t in TEXTS])],
+        names=["task", "doc_id", "text"],
+    )
+    pieces = []
+    for most in (1, 700, 1 << 22):
+        monkeypatch.setattr(packing, "AT_ONCE", most)
+        found = packing._pack_task(path, 2, 64, 3)(iter([batch.slice(0, 0), batch]))
+        pieces.append([row for out in found for row in out.to_pylist()])
+    assert pieces[0] == pieces[1] == pieces[2] and sum(p["length"] for p in pieces[0]) > len(TEXTS)
+
+
 # Url filter
 
 RULES = [url_filter.Rule("allow", "org/"), url_filter.Rule("block", "example.org/en/1")]

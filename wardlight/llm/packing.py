@@ -19,17 +19,19 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import materialize, one_of, rows_of, texts_of, worker_kept
+from wardlight.llm.common import BLANKS, materialize, one_of, rows_of, texts_of, worker_kept
 
 #: Words remembered by a worker process; it starts over beyond that, so its memory is bounded.
 REMEMBERED = 500_000
+#: Characters of texts encoded at once, besides one longer text.
+AT_ONCE = 1 << 22
 PIECE = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
@@ -42,24 +44,43 @@ OPEN = pa.schema(
 )
 
 
-class Known(dict):
-    """Numbers of words; those not known yet are noted and have none."""
+#: Kinds of a text's bytes. A word with a byte of the last kind is of that kind as a whole.
+BLANK, LETTER, DIGIT, MARK, ODD = range(5)
 
-    def __init__(self):
-        super().__init__()
-        self.new: set[str] = set()
 
-    def __missing__(self, word: str) -> int:
-        self.new.add(word)
-        return -1
+def _kinds() -> np.ndarray:
+    """The kind of each byte in UTF-8. Odd: quotes, controls, and what is neither ASCII nor a letter up to "ÿ"."""
+    kinds = np.full(256, ODD, np.uint8)
+    for code in range(0x21, 0x7F):
+        kinds[code] = LETTER if chr(code).isalpha() else DIGIT if chr(code).isdigit() else MARK
+    kinds[ord("'")] = ODD
+    kinds[list(BLANKS.encode())] = BLANK
+    # 0xC3 leads the characters from "À" to "ÿ"; all are letters but "×" and "÷". Any other lead is odd.
+    kinds[[0xC3, *range(0x80, 0xC0)]] = LETTER
+    kinds[["×".encode()[1], "÷".encode()[1]]] = ODD
+    return kinds
+
+
+def _lower() -> np.ndarray:
+    """The lower case of each byte of a letter."""
+    lower = np.arange(256, dtype=np.uint8)
+    lower[ord("A") : ord("Z") + 1] += 32
+    lower["À".encode()[1] : "Þ".encode()[1] + 1] += 32
+    return lower
+
+
+KINDS, LOWER = _kinds(), _lower()
+LETTERS = np.flatnonzero(KINDS == LETTER).astype(np.uint8).tobytes()
 
 
 class WordEncoder:
     """Ids of a text by a tokenizer that drops white space and lets no token span it.
 
-    The text is then the sequence of its words, and a word's ids are looked up. An unknown
-    word goes to the tokenizer; one of Latin letters only, with a full stop or comma behind
-    it, is two words of one kind each to the tokenizer's pattern, and its case is dropped there.
+    The text is then the sequence of its words. A word of letters up to "ÿ", digits and ASCII
+    marks without a quote is in turn the sequence of its runs of one kind, which the tokenizer's
+    pattern parts, and its case is dropped there. Runs and other words are numbered by an Arrow
+    dictionary for many texts at once, so that ids are looked up once for each distinct run;
+    what is not known yet goes to the tokenizer.
     """
 
     def __init__(self, path: str):
@@ -77,30 +98,28 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known = Known()
+        self.known: dict[bytes, int] = {}
         self.flat, self.starts = array("I"), array("I", [0])
 
-    def _numbers(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-
-    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def _keep(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         first = len(self.starts) - 1
         self.known.update(zip(words, range(first, first + len(words)), strict=True))
         self.starts.frombytes((len(self.flat) + np.cumsum(sizes)).astype(np.uint32).tobytes())
         self.flat.frombytes(ids.astype(np.uint32).tobytes())
 
-    def _keep_lists(self, words: list[str], tokenizer) -> None:
-        found = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _keep_lists(self, words: list[bytes], tokenizer) -> None:
+        texts = [word.decode() for word in words]
+        found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         self._keep(words, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
 
-    def _keep_merged(self, words: list[str]) -> None:
+    def _keep_merged(self, words: list[bytes]) -> None:
         """Words without line feeds, by the merges alone."""
         if len(self.between) != 1:
             self._keep_lists(words, self.merges)
             return
         # Short strings, since the library's time for a cut grows with the string's length.
-        joined = ["\n".join(words[k : k + 20]) for k in range(0, len(words), 20)]
+        joined = [b"\n".join(words[k : k + 20]).decode() for k in range(0, len(words), 20)]
         found = [e.ids + self.between for e in self.merges.encode_batch_fast(joined, add_special_tokens=False)]
         ids = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
         cuts = np.flatnonzero(ids == self.between[0])
@@ -114,51 +133,48 @@ class WordEncoder:
         ends = np.concatenate([[0], np.cumsum(sizes)])
         return flat[np.repeat(first - ends[:-1], sizes) + np.arange(ends[-1])], ends
 
-    def _learn(self, words: set[str]) -> None:
-        plain, latin, whole, bodies, tails = {}, {}, [], [], []
-        for word in words:
-            tail = word[-1] if word[-1] in ".," else ""
-            lower = (word[:-1] if tail else word).lower()
-            if lower.isalpha() and (lower.isascii() or max(lower) < "ɐ"):
-                latin[lower] = None
-                if tail or lower != word:
-                    whole.append(word)
-                    bodies.append(lower)
-                    tails.append(tail)
-            else:
-                plain[word] = None
-        plain |= dict.fromkeys(tail for tail in set(tails) if tail)
-        known = self.known.keys()
-        self._keep_lists([word for word in plain if word not in known], self.tokenizer)
-        self._keep_merged([word for word in latin if word not in known])
-        if not whole:
-            return
-        # A word's own ids are those of its letters and then those of what stands behind.
-        pairs = np.empty(2 * len(whole), np.int64)
-        pairs[0::2] = self._numbers(bodies)
-        pairs[1::2] = [self.known[tail] if tail else -1 for tail in tails]
-        ids, ends = self._gather(pairs[pairs >= 0])
-        parts = np.zeros(len(pairs), np.int64)
-        parts[pairs >= 0] = np.diff(ends)
-        self._keep(whole, ids, parts.reshape(-1, 2).sum(axis=1))
+    def _numbers(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of distinct words; those not known yet are learned."""
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        known = self.known
+        new = [word for word in words if word not in known]
+        if new:
+            self._keep_merged([word for word in new if not word.translate(None, LETTERS)])
+            self._keep_lists([word for word in new if word not in known], self.tokenizer)
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         """The ids of each text with the end id behind them."""
-        if len(self.known) > REMEMBERED:
-            self._forget()
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        words = [word for own in split for word in own if word]
-        at = self._numbers(words)
-        if self.known.new:
-            new, self.known.new = self.known.new, set()
-            self._learn(new)
-            late = np.flatnonzero(at < 0)
-            at[late] = self._numbers([words[k] for k in late.tolist()])
-        ids, ends = self._gather(at)
-        cuts = ends[np.concatenate([[0], np.cumsum([len(own) - own.count("") for own in split])])]
+        column = pa.array(texts, pa.large_string())
+        offsets = np.frombuffer(column.buffers()[1], np.int64)[: len(texts) + 1]
+        runs, starts = _runs(np.frombuffer(column.buffers()[2] or b"", np.uint8)[: offsets[-1]], offsets)
+        found = runs.dictionary_encode()
+        words = found.dictionary.to_numpy(zero_copy_only=False).tolist()  # many times faster than to_pylist
+        ids, ends = self._gather(self._numbers(words)[found.indices.to_numpy()])
+        cuts = ends[np.searchsorted(starts, offsets)]
         return [np.append(ids[a:b], np.uint32(end)).astype("<u4") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+def _runs(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The runs of one kind of byte, lower-case unless odd, of texts that lie at ``offsets``, and where each begins."""
+    kinds = KINDS[data]
+    first = np.zeros(len(data), bool)
+    first[offsets[offsets < len(data)]] = True
+    odd = np.flatnonzero(kinds == ODD)
+    if len(odd):
+        blank = kinds == BLANK
+        words = np.flatnonzero(first | np.concatenate([[False], blank[1:] != blank[:-1]]))
+        marked = np.zeros(len(words), bool)
+        marked[np.searchsorted(words, odd, "right") - 1] = True
+        kinds[np.repeat(marked, np.diff(np.append(words, len(data))))] = ODD
+    first[1:] |= kinds[1:] != kinds[:-1]
+    starts = np.flatnonzero(first)
+    data = np.where(kinds == LETTER, LOWER[data], data)
+    buffers = [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), buffers), starts
+
+
 class Packer:
     """Open windows of one task. A window is a list of (doc, start, ids, doc_tokens)."""
 
@@ -232,10 +248,12 @@ def _pack_task(path: str, end: int, length: int, open_windows: int):
             if packer is None and tasks:
                 task = tasks[0]
                 packer = Packer(length, open_windows, task << 32)
-            for at in range(0, len(texts), 500):
+            share = np.cumsum(list(map(len, texts))) // AT_ONCE
+            cuts = np.unique([0, *(np.flatnonzero(np.diff(share)) + 1), len(texts)])
+            for a, b in pairwise(cuts.tolist()):
                 rows = (
                     row
-                    for doc, ids in zip(docs[at : at + 500], encoder.encode(texts[at : at + 500], end), strict=True)
+                    for doc, ids in zip(docs[a:b], encoder.encode(texts[a:b], end), strict=True)
                     for row in packer.add(doc, 0, ids, len(ids))
                 )
                 yield from rows_of(OPEN, rows)
