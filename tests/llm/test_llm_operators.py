@@ -2,7 +2,9 @@
 
 import hashlib
 import itertools
+import os
 import random
+import subprocess
 import sys
 import types as types_module
 import zlib
@@ -295,6 +297,46 @@ def test_packing_is_the_same_for_any_share_of_texts(monkeypatch):
     assert pieces[0] == pieces[1] == pieces[2] and sum(p["length"] for p in pieces[0]) > len(TEXTS)
 
 
+def test_texts_are_encoded_from_a_slice_of_a_column():
+    own = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["", "One two.", "É don't 7", "", "three", "\n"]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(["before", *texts, "after"], kind).slice(1, len(texts))
+        for a in range(len(texts)):
+            found, known = own.encode(column.slice(a), 2), own.encode(texts[a:], 2)
+            assert [f.tolist() for f in found] == [f.tolist() for f in known]
+
+
+KEPT_BY_PACKING = """
+import random, re
+import pyarrow as pa
+import public_tokenizers
+from wardlight.llm import packing
+
+def mb():
+    with open("/proc/self/smaps_rollup") as f:
+        return sum(map(int, re.findall(r"Pss_Anon: +([0-9]+)", f.read()))) / 1024
+
+rng = random.Random(7)
+words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(100_000)]
+texts = [" ".join(rng.choices(words, k=1000)) + "." for _ in range(1500)]
+batch = pa.record_batch({"task": [0] * len(texts), "doc_id": range(len(texts)), "text": texts})
+path = public_tokenizers.path("word_bpe_49k.json")
+rows = sum(b.num_rows for b in packing._pack_task(path, 2, 4096, 16)(iter([batch])))
+before = mb()
+pa.default_memory_pool().release_unused()
+print(rows, before - mb())
+"""
+
+
+def test_a_worker_keeps_no_memory_of_packed_texts():
+    """Workers go on to other steps, and what they keep adds to the memory of those."""
+    run = [sys.executable, "-c", KEPT_BY_PACKING]
+    done = subprocess.run(run, capture_output=True, text=True, check=True, env=os.environ | {"PYTHONPATH": os.pathsep.join(sys.path)})
+    rows, kept = done.stdout.split()
+    assert int(rows) >= 1500 and float(kept) < 8, done.stdout
+
+
 # Url filter
 
 RULES = [url_filter.Rule("allow", "org/"), url_filter.Rule("block", "example.org/en/1")]

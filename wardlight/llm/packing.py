@@ -23,6 +23,7 @@ from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +31,8 @@ from wardlight.llm.common import BLANKS, materialize, one_of, rows_of, texts_of,
 
 #: Words remembered by a worker process; it starts over beyond that, so its memory is bounded.
 REMEMBERED = 500_000
-#: Characters of texts encoded at once, besides one longer text.
-AT_ONCE = 1 << 22
+#: Bytes of texts encoded at once, besides one longer text. What that takes on the way is many times as much.
+AT_ONCE = 1 << 21
 PIECE = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
@@ -144,11 +145,14 @@ class WordEncoder:
             self._keep_lists([word for word in new if word not in known], self.tokenizer)
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
-    def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
+    def encode(self, texts: list[str] | pa.Array, end: int) -> list[np.ndarray]:
         """The ids of each text with the end id behind them."""
-        column = pa.array(texts, pa.large_string())
-        offsets = np.frombuffer(column.buffers()[1], np.int64)[: len(texts) + 1]
-        runs, starts = _runs(np.frombuffer(column.buffers()[2] or b"", np.uint8)[: offsets[-1]], offsets)
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        column = column.cast(pa.large_string())
+        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset :][: len(column) + 1]
+        data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        runs, starts = _runs(data, offsets)
         found = runs.dictionary_encode()
         words = found.dictionary.to_numpy(zero_copy_only=False).tolist()  # many times faster than to_pylist
         ids, ends = self._gather(self._numbers(words)[found.indices.to_numpy()])
@@ -244,19 +248,22 @@ def _pack_task(path: str, end: int, length: int, open_windows: int):
         encoder = worker_kept(("word-encoder", path), lambda: WordEncoder(path))
         packer, task = None, 0
         for batch in batches:
-            tasks, docs, texts = (one_of(c, batch) for c in ("task", "doc_id", "text"))
+            texts = batch.column(batch.schema.get_field_index("text"))
+            tasks, docs = (one_of(c, batch) for c in ("task", "doc_id"))
             if packer is None and tasks:
                 task = tasks[0]
                 packer = Packer(length, open_windows, task << 32)
-            share = np.cumsum(list(map(len, texts))) // AT_ONCE
+            share = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64) // AT_ONCE
             cuts = np.unique([0, *(np.flatnonzero(np.diff(share)) + 1), len(texts)])
             for a, b in pairwise(cuts.tolist()):
                 rows = (
                     row
-                    for doc, ids in zip(docs[a:b], encoder.encode(texts[a:b], end), strict=True)
+                    for doc, ids in zip(docs[a:b], encoder.encode(texts.slice(a, b - a), end), strict=True)
                     for row in packer.add(doc, 0, ids, len(ids))
                 )
                 yield from rows_of(OPEN, rows)
+                # Arrow would keep what the dictionary took, and so would the worker while other steps run.
+                pa.default_memory_pool().release_unused()
         if packer is not None:
             yield from rows_of(OPEN, packer.leftovers(task), 64)
 
