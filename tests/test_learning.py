@@ -434,3 +434,63 @@ def test_fits_get_rows_dealt_by_their_number(spark, monkeypatch):
     models.train_all_models(rows, names=["gbt"])
     assert [len(s) for s in seen] == [3, 3] and max(max(s) for s in seen) <= 25_000
     assert sum(seen[0]) == sum(seen[1]) == 60_000 and not rows.is_cached
+
+
+@pytest.mark.parametrize("alone", [10**6, 100])
+def test_packed_boosting_is_sparks(spark, monkeypatch, alone):
+    """The same trees as Spark's own fit, from one task and from several that add up their sums; the
+    rows have blocks of one-hot slots, numbers with and without zeros, and a slot that never changes."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.linalg import Vectors
+
+    from wardlight.learning import boosting
+
+    monkeypatch.setattr(boosting, "ALONE_ROWS", alone)
+    monkeypatch.setattr(boosting, "TASK_ROWS", 200)
+    draw, rows = random.Random(5), []
+    for i in range(900):
+        kind, number, other = draw.randrange(6), draw.randrange(40), draw.choice([0.0, 0.0, 0.0, 2.5, -1.0])
+        label = float(draw.random() < (0.2 + 0.5 * (kind == 2) + 0.2 * (number > 25) - 0.1 * (other < 0)))
+        slots = {kind: 1.0, 6: 3.0, 7: float(number + 1), 8: other}
+        vector = Vectors.sparse(9, {k: v for k, v in slots.items() if v})
+        rows.append((i, vector if i % 3 else Vectors.dense(vector.toArray()), label))
+    data = spark.createDataFrame(rows, ["encounter_id", "features", "readmission_target"]).repartition(4).cache()
+    settings = {"featuresCol": "features", "labelCol": "readmission_target", "maxIter": 3, "maxDepth": 3, "seed": 1}
+    own, packed = GBTClassifier(**settings).fit(data), boosting.PackedGBT(**settings).fit(data)
+    assert own.treeWeights == packed.treeWeights and own.numFeatures == packed.numFeatures == 9
+
+    def shape(model):
+        lines = model.toDebugString.split("\n")[1:]
+        return [x if "Predict" not in x else round(float(x.split()[-1]), 9) for x in lines]
+
+    assert shape(own) == shape(packed)
+    assert list(own.featureImportances.toArray()) == pytest.approx(list(packed.featureImportances.toArray()))
+    both = own.transform(data).select("encounter_id", vector_to_array("probability")[1].alias("own")).join(
+        packed.transform(data).select("encounter_id", vector_to_array("probability")[1].alias("packed")), "encounter_id"
+    )
+    assert both.filter(F.abs(F.col("own") - F.col("packed")) > 1e-9).count() == 0
+    data.unpersist()
+
+
+def test_boosting_keeps_rows_packed(vectors):
+    """A row of the feature table costs a few dozen entries of two bytes, not four bytes for each slot."""
+    from wardlight.learning import boosting
+
+    train, _, _ = vectors
+    assert isinstance(models.build_estimator("gbt"), boosting.PackedGBT)
+    rows = models.build_estimator("gbt")._rows(train)
+    bins = boosting.find_bins(rows, train.count(), 32, 42)
+    whole = rows.select("v").toArrow().column("v").combine_chunks()
+    entries, starts = boosting.pack(whole, bins)
+    assert starts[-1] == len(entries) and len(starts) == bins.codes + 1
+    assert entries.nbytes < 120 * len(whole) < 4 * bins.size * len(whole)
+
+
+@pytest.mark.parametrize("label", [2.0, None])
+def test_boosting_refuses_other_labels(spark, label):
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(Vectors.dense([float(i)]), float(i % 2)) for i in range(8)] + [(Vectors.dense([1.0]), label)]
+    data = spark.createDataFrame(rows, ["features", "readmission_target"])
+    with pytest.raises(Exception, match="Labels MUST"):
+        models.build_estimator("gbt", maxIter=1).fit(data)

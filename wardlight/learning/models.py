@@ -10,7 +10,6 @@ from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
     GBTClassificationModel,
-    GBTClassifier,
     LogisticRegression,
     LogisticRegressionModel,
     RandomForestClassificationModel,
@@ -22,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
 from wardlight import schema as S
+from wardlight.learning.boosting import PackedGBT
 from wardlight.learning.features import FEATURES, fold_of
 from wardlight.operators.metrics import MODEL_ORDER
 from wardlight.session import deal_rows
@@ -61,7 +61,7 @@ ESTIMATORS = {
     "logistic_regression": (PlainLogisticRegression, LogisticRegressionModel),
     "random_forest": (PlainRandomForest, RandomForestClassificationModel),
     "decision_tree": (DecisionTreeClassifier, DecisionTreeClassificationModel),
-    "gbt": (GBTClassifier, GBTClassificationModel),
+    "gbt": (PackedGBT, GBTClassificationModel),
 }
 
 
